@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderlake.contracts import COMPLETED, MAX_CHANNELS, GateFailed
-from orderlake.operators.profile import content, copies, long_form, row_repeats, weighted
+from orderlake.operators.dedupe import content, copies
+from orderlake.operators.profile import long_form, row_repeats, weighted
 
 
 def as_checks(one_row: DataFrame) -> DataFrame:
@@ -25,9 +26,11 @@ def quality_checks(
     df: DataFrame,
     max_channels: int | None = None,
     channels: list[str] | None = None,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """The gate's four checks, in one aggregation; optionally also the number of
-    channels (a missing one counts) and an allow-list for them."""
+    channels (a missing one counts) and an allow-list for them. ``repeated`` may
+    hold more orders than repeat here."""
     is_date = dict(df.dtypes)["tanggal_order"].startswith("timestamp")
     counts = {
         "zero_duplicates": row_repeats(),
@@ -41,7 +44,7 @@ def quality_checks(
     if channels is not None:
         known = F.coalesce(F.col("channel").isin(channels), F.lit(False))
         counts["channel_allowed"] = weighted(~known)
-    return as_checks(copies(df).agg(*[c.alias(name) for name, c in counts.items()]))
+    return as_checks(copies(df, "order_id", repeated).agg(*[c.alias(name) for name, c in counts.items()]))
 
 
 def tutorial_checks(df: DataFrame, channels: list[str] | None = None) -> DataFrame:

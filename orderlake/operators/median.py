@@ -9,7 +9,7 @@ FINISH_AT = 100_000
 ACCURACY = 10_000
 
 
-def kth_value(values: DataFrame, k: int, rows: int, finish_at: int = FINISH_AT) -> float | None:
+def kth_value(values: DataFrame, k: int, rows: int, finish_at: int = FINISH_AT) -> float:
     """The k-th smallest (from 0) of the non-NULL column ``v``.
 
     Each round brackets the rank between two approximate percentiles and counts
@@ -49,13 +49,8 @@ def kth_value(values: DataFrame, k: int, rows: int, finish_at: int = FINISH_AT)
             below += n.under + n.low + n.between + at_high
             bracket = bracket.where(v > high)
             inside -= n.under + n.low + n.between + at_high
-    # At most ``finish_at`` rows: one top-n over counts per value.
-    rank = k - below
-    for value, count in bracket.groupBy("v").count().orderBy("v").toLocalIterator():
-        if rank < count:
-            return value
-        rank -= count
-    return None
+    # At most ``finish_at`` rows are left.
+    return bracket.agg(F.sort_array(F.collect_list("v"))[k - below]).first()[0]
 
 
 def exact_median(df: DataFrame, column: str, finish_at: int = FINISH_AT) -> float | None:

@@ -5,23 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderlake.contracts import POSITION
+from orderlake.operators.dedupe import content, copies
 from orderlake.operators.marts import by_dimension
 
 
-def content(df: DataFrame, position: str = POSITION) -> list[str]:
-    """The columns a row consists of, without its position."""
-    return [c for c in df.columns if c != position]
-
-
-def copies(df: DataFrame, position: str = POSITION) -> DataFrame:
-    """Each different row once, with ``n``, how often it occurs.
-
-    Counts over the raw rows become sums weighted by ``n``, so one shuffle
-    answers the duplicate count and everything else.
-    """
-    return df.groupBy(*content(df, position)).agg(F.count(F.lit(1)).alias("n"))
-
-
 def weighted(condition: Column, n: str = "n") -> Column:
     """Number of raw rows that meet the condition, over ``copies``."""
     return F.coalesce(F.sum(F.when(condition, F.col(n))), F.lit(0))
@@ -43,10 +30,14 @@ def long_form(one_row: DataFrame, name: str, value: str) -> DataFrame:
     return one_row.unpivot([], one_row.columns, name, value)
 
 
-def summary(orders: DataFrame) -> DataFrame:
-    """Row and column counts, duplicates and price problems as ``metric, value``."""
+def summary(orders: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """Row and column counts, duplicates and price problems as ``metric, value``.
+
+    Counts over raw rows are sums weighted by ``n`` over ``copies``, so the
+    shuffle that finds duplicate rows serves everything else too.
+    """
     price = F.col("total_harga")
-    one_row = copies(orders).agg(
+    one_row = copies(orders, "order_id", repeated).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.lit(len(content(orders))).cast("bigint").alias("columns"),
         row_repeats().alias("duplicate_rows"),

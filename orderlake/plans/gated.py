@@ -8,19 +8,19 @@ from orderlake.functions.dates import month_name, parse_date
 from orderlake.functions.money import price_bucket
 from orderlake.functions.text import clean_title, fill_email, snake
 from orderlake.operators.checks import quality_checks, require
-from orderlake.operators.dedupe import distinct_rows
+from orderlake.operators.dedupe import copies, distinct_rows, repeated_keys
 from orderlake.operators.marts import category_report, run_totals
-from orderlake.operators.profile import copies, long_form, row_repeats
+from orderlake.operators.profile import long_form, row_repeats
 from orderlake.operators.rules import drop_negative_price
 from orderlake.sources.sinks import publish
 from orderlake.sources.staging import stage
 
 
-def transform(orders: DataFrame) -> DataFrame:
+def transform(orders: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """Distinct rows with a price of 0 or more, dates read month first. A date
     that cannot be read is NULL here and stops the run at the gate."""
     return (
-        drop_negative_price(distinct_rows(orders))
+        drop_negative_price(distinct_rows(orders, "order_id", repeated))
         .withColumns({
             "customer_email": fill_email(F.col("customer_email")),
             "tanggal_order": parse_date(F.col("tanggal_order"), month_first=True),
@@ -34,10 +34,10 @@ def transform(orders: DataFrame) -> DataFrame:
     )
 
 
-def metrics(orders: DataFrame) -> DataFrame:
+def metrics(orders: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """Row counters as ``metric, value``."""
     price = F.col("total_harga")
-    one_row = copies(orders).agg(
+    one_row = copies(orders, "order_id", repeated).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in"),
         row_repeats().alias("duplicate_rows"),
         F.count_if(price < 0).alias("negative_price"),
@@ -47,9 +47,20 @@ def metrics(orders: DataFrame) -> DataFrame:
 
 
 def run(orders: DataFrame, root: str, run_id: str) -> None:
-    """Transform, check, publish. ``GateFailed`` leaves the previous run in place."""
-    clean = stage(transform(orders), "gated-orders")
-    require(quality_checks(clean))
-    report = category_report(clean)
-    outputs = {"clean": clean, "report": report, "totals": run_totals(report)}
+    """Transform, check, publish. ``GateFailed`` leaves the previous run in place.
+
+    Orders that repeat in the clean rows repeat in the raw ones too, so the gate
+    looks for duplicates among the same staged keys.
+    """
+    raw = stage(orders, "raw-orders")
+    repeated = stage(repeated_keys(raw, "order_id"), "repeated-orders")
+    clean = stage(transform(raw, repeated), "gated-orders")
+    require(quality_checks(clean, repeated=repeated))
+    report = stage(category_report(clean), "category-report")
+    outputs = {
+        "clean": clean,
+        "report": report,
+        "totals": run_totals(report),
+        "metrics": metrics(raw, repeated),
+    }
     publish(outputs, root, run_id)

@@ -8,7 +8,7 @@ from orderlake.contracts import POSITION
 from orderlake.functions.dates import parse_date
 from orderlake.functions.text import clean_lower, clean_title, strip
 from orderlake.operators.checks import catalog_checks, clean_price_check, mart_checks
-from orderlake.operators.dedupe import keep_first
+from orderlake.operators.dedupe import keep_first, repeated_keys
 from orderlake.operators.enrich import unique_unit_price
 from orderlake.operators.marts import sales_by_category_city, sales_by_channel_status
 from orderlake.operators.profile import long_form
@@ -24,9 +24,11 @@ def clean_products(products: DataFrame) -> DataFrame:
     })
 
 
-def transform(orders: DataFrame, products: DataFrame) -> DataFrame:
+def transform(
+    orders: DataFrame, products: DataFrame, repeated: DataFrame | None = None
+) -> DataFrame:
     """One row per order with a repaired price; unreadable dates are NULL."""
-    first = keep_first(orders, "order_id")
+    first = keep_first(orders, "order_id", repeated=repeated)
     repaired = repair_price(unique_unit_price(first, products)).drop("harga_satuan")
     return repaired.withColumns({
         "tanggal_order": parse_date(F.col("tanggal_order")),
@@ -58,7 +60,9 @@ def run(orders: DataFrame, products: DataFrame, database: str = "default") -> Da
     The rows are staged first, so a table is only replaced by a complete result.
     """
     catalog = clean_products(products)
-    clean = stage(transform(orders, catalog).drop(POSITION), "repaired-orders")
+    raw = stage(orders, "raw-orders")
+    repeated = stage(repeated_keys(raw, "order_id"), "repeated-orders")
+    clean = stage(transform(raw, catalog, repeated).drop(POSITION), "repaired-orders")
     spark = clean.sparkSession
     replace_table(clean, f"{database}.cleaned_orders")
     stored = spark.table(f"{database}.cleaned_orders")

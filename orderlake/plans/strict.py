@@ -8,7 +8,7 @@ from orderlake.contracts import POSITION, REASONS, STRICT_COLUMNS
 from orderlake.functions.dates import month_period, parse_date
 from orderlake.functions.money import unit_price
 from orderlake.functions.text import clean_email, clean_lower, clean_title, strip
-from orderlake.operators.dedupe import first_positions, flag_repeats
+from orderlake.operators.dedupe import flag_known, flag_repeats, repeated_keys
 from orderlake.operators.enrich import add_unit_price
 from orderlake.operators.marts import sales_summary
 from orderlake.operators.profile import long_form
@@ -30,10 +30,15 @@ def standardize(orders: DataFrame) -> DataFrame:
     })
 
 
-def classify(orders: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
+def classify(
+    orders: DataFrame, repeated: DataFrame | None = None, known: DataFrame | None = None
+) -> DataFrame:
     """Standardized rows with ``reject_reason``, NULL for clean ones. Repeats are
-    judged over all rows, before any other rule removes one."""
-    flagged = flag_repeats(orders, "order_id", firsts=firsts)
+    judged over all rows, before any other rule removes one; an order in
+    ``known`` (each once) is a repeat from its first row on."""
+    flagged = flag_repeats(orders, "order_id", repeated=repeated)
+    if known is not None:
+        flagged = flag_known(flagged, "order_id", known)
     reason = reject_reason(
         F.col("is_repeat"), F.col("total_harga"), F.col("tanggal_order"), F.col("status")
     )
@@ -99,8 +104,8 @@ def run(orders: DataFrame, products: DataFrame, root: str, run_id: str) -> None:
     the third is read by four outputs.
     """
     raw = stage(orders, "raw-orders")
-    firsts = stage(first_positions(raw, "order_id"), "repeated-orders")
-    classified = stage(classify(raw, firsts), "classified-orders")
+    repeated = stage(repeated_keys(raw, "order_id"), "repeated-orders")
+    classified = stage(classify(raw, repeated), "classified-orders")
     outputs = {
         "clean": clean(classified, products),
         "rejected": rejected(classified),

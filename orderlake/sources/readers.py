@@ -51,16 +51,20 @@ def _open(read, name: str) -> DataFrame:
         raise ContractError(f"cannot read {name}: {error}") from error
 
 
-def csv_position() -> Column:
-    """File, split and row order within the split: a row's place in the input,
-    however the splits are packed into tasks."""
+def csv_split() -> Column:
+    """The file and split a row comes from."""
     return F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
     )
 
 
+def csv_position() -> Column:
+    """Split and row order within the split: a row's place in the input, however
+    the splits are packed into tasks."""
+    return F.struct(csv_split().alias("split"), F.monotonically_increasing_id().alias("row"))
+
+
 def read_csv(
     spark: SparkSession,
     path: str,

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderlake.contracts import POSITION, ContractError
 
 MANIFEST = "published"
+_ENTRY = "published_at string, run_id string, outputs array<string>"
 
 
 def _plain_double(name: str):
@@ -74,21 +76,32 @@ def publish(
             df.write.mode("overwrite").parquet(path)
     spark = next(iter(outputs.values())).sparkSession
     now = datetime.now(timezone.utc).isoformat()
-    entry = spark.createDataFrame(
-        [(now, run_id, sorted(outputs))], "published_at string, run_id string, outputs array<string>"
-    )
+    entry = spark.createDataFrame([(now, run_id, sorted(outputs))], _ENTRY)
     entry.coalesce(1).write.mode("append").json(f"{root}/{MANIFEST}")
 
 
-def published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The output of the latest complete run."""
-    schema = "published_at string, run_id string, outputs array<string>"
-    manifest = spark.read.schema(schema).json(f"{root}/{MANIFEST}")
-    holding = manifest.where(F.array_contains("outputs", name))
-    latest = holding.orderBy(F.desc("published_at")).select("run_id").first()
-    if latest is None:
+def _manifest(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(_ENTRY).json(f"{root}/{MANIFEST}")
+
+
+def published_runs(spark: SparkSession, root: str) -> list[str]:
+    """Names of all complete runs; one manifest row each."""
+    try:
+        return [row.run_id for row in _manifest(spark, root).select("run_id").collect()]
+    except AnalysisException:
+        return []
+
+
+def published(
+    spark: SparkSession, root: str, name: str, every_run: bool = False
+) -> DataFrame:
+    """The output of the latest complete run, or of all of them."""
+    holding = _manifest(spark, root).where(F.array_contains("outputs", name))
+    newest = holding.orderBy(F.desc("published_at")).select("run_id")
+    runs = (newest if every_run else newest.limit(1)).collect()
+    if not runs:
         raise ContractError(f"no published run holds {name}")
-    return spark.read.parquet(_run_path(root, name, latest.run_id))
+    return spark.read.parquet(*[_run_path(root, name, row.run_id) for row in runs])
 
 
 def _run_path(root: str, name: str, run_id: str) -> str:
