@@ -1,9 +1,9 @@
 """Mixed-format dates to timestamps without a time zone.
 
-Each accepted shape is one rule: a pattern, and the ISO text it is rewritten
+Each accepted shape is a pattern, and where needed the ISO text it is rewritten
 to. A row is tested against the patterns in order and cast once, so no parser
 runs on text it cannot read, and the cast does not depend on the session's
-time zone. Text that fits no rule, or names a day that does not exist, is NULL.
+time zone. Text that fits no shape, or names a day that does not exist, is NULL.
 """
 
 from __future__ import annotations
@@ -22,13 +22,18 @@ _TIME = r"\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,6})?)?"
 _MONTH_NUMBER = r"0?[1-9]|1[0-2]"
 _MONTH_NAME = "|".join(f"{m}|{m[:3]}" for m in MONTHS)
 
+# The formats the sources use: ISO with or without a time, day/month/year, and
+# a short month name, which Spark's formatter reads.
 _ISO = rf"^\d{{4}}-\d{{1,2}}-\d{{1,2}}(?:[ T]{_TIME})?$"
 _DAY_FIRST = (rf"^(\d{{1,2}})/({_MONTH_NUMBER})/(\d{{4}})$", "$3-$2-$1")
+_SHORT_NAME = r"^[A-Za-z]{3} \d{1,2}, \d{4}$"
+
+# Formats only guessed at: numbers are month first, and day first where the
+# month would be above 12.
 _GUESSED = [
-    # Month first, with day first where the month would be above 12.
     (rf"^({_MONTH_NUMBER})([/-])(\d{{1,2}})\2(\d{{4}})((?: {_TIME})?)$", "$4-$1-$3$5"),
     (rf"^(\d{{1,2}})([/-])({_MONTH_NUMBER})\2(\d{{4}})((?: {_TIME})?)$", "$4-$3-$1$5"),
-    (rf"^(\d{{4}})/(\d{{1,2}})/(\d{{1,2}})((?: {_TIME})?)$", "$1-$2-$3$4"),
+    (rf"^(\d{{4}})([/-])(\d{{1,2}})\2(\d{{1,2}})((?: {_TIME})?)$", "$1-$3-$4$5"),
     (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
 ]
 # Month names go to "day short-month year"; the look-ahead checks the whole name.
@@ -38,22 +43,32 @@ _NAMED = [
 ]
 
 
+def _iso(text: Column) -> Column:
+    return text.try_cast("timestamp_ntz")
+
+
+def _named(text: Column, layout: str) -> Column:
+    return F.try_to_date(text, layout).cast("timestamp_ntz")
+
+
 def parse_date(c: Column, month_first: bool = False) -> Column:
     """Read a date in any accepted shape.
 
     ``11/07/2024`` is 11 July, or 7 November with ``month_first``. Other
     numeric shapes are month first either way.
     """
-    text = F.regexp_replace(strip(c), r"\s+", " ")
-    numeric = _GUESSED if month_first else [_DAY_FIRST, *_GUESSED]
-    parsed = F.when(text.rlike(_ISO), text.try_cast("timestamp_ntz"))
-    for pattern, iso in numeric:
-        rewritten = F.regexp_replace(text, pattern, iso)
-        parsed = parsed.when(text.rlike(pattern), rewritten.try_cast("timestamp_ntz"))
+    text = strip(c)
+    parsed = F.when(text.rlike(_ISO), _iso(text))
+    if not month_first:
+        parsed = parsed.when(text.rlike(_DAY_FIRST[0]), _iso(F.regexp_replace(text, *_DAY_FIRST)))
+    parsed = parsed.when(text.rlike(_SHORT_NAME), _named(text, "MMM d, yyyy"))
+    # Runs of white space count as one; few rows get here to need it.
+    spaced = F.regexp_replace(text, r"\s+", " ")
+    for pattern, iso in _GUESSED:
+        parsed = parsed.when(spaced.rlike(pattern), _iso(F.regexp_replace(spaced, pattern, iso)))
     for pattern, day_month_year in _NAMED:
-        rewritten = F.regexp_replace(text, pattern, day_month_year)
-        day = F.try_to_date(rewritten, "d MMM yyyy")
-        parsed = parsed.when(text.rlike(pattern), day.cast("timestamp_ntz"))
+        rewritten = F.regexp_replace(spaced, pattern, day_month_year)
+        parsed = parsed.when(spaced.rlike(pattern), _named(rewritten, "d MMM yyyy"))
     return parsed
 
 

@@ -29,7 +29,7 @@ def title(c: Column) -> Column:
     ``initcap`` starts words at spaces only, so a removable break is put before
     each cased character that follows an uncased one.
     """
-    broken = F.regexp_replace(c, f"(?<=[^{_CASED} ])(?=[{_CASED}])", _BREAK)
+    broken = F.regexp_replace(c, f"([^{_CASED} ])([{_CASED}])", f"$1{_BREAK}$2")
     return F.replace(F.initcap(broken), F.lit(_BREAK), F.lit(""))
 
 

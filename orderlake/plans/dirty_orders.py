@@ -7,24 +7,32 @@ unknown states at fixed residues of the order key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+
+@lru_cache(maxsize=64)
+def _schema(path: str) -> StructType:
+    return SparkSession.active().read.parquet(path).schema
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
-def _cents(price):
-    return F.round(price * 100).cast("bigint")
+_CENTS = "CAST(round(p_retailprice * 100) AS BIGINT)"
 
 
 def dirty_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "part").select(
-        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("product_id"),
-        F.concat(F.lit(" "), F.col("p_name")).alias("product_name"),
-        F.col("p_type").alias("kategori"),
-        _cents(F.col("p_retailprice")).alias("harga_satuan"),
-        F.col("p_partkey").alias("pos"),
+    return _table(spark, sf_dir, "part").selectExpr(
+        "concat('P', p_partkey) AS product_id",
+        "concat(' ', p_name) AS product_name",
+        "p_type AS kategori",
+        f"{_CENTS} AS harga_satuan",
+        "p_partkey AS pos",
     )
 
 
@@ -32,67 +40,44 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts meet the joined dimensions once, on one key, so a hot customer is
     one skewed join side that AQE can split. Copies come from an inline array
     rather than from further scans."""
-    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
-    dimension = part.join(customer, F.col("p_partkey") == F.col("c_custkey")).join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    facts = _table(spark, sf_dir, "orders").join(
-        dimension, F.col("o_custkey") == F.col("p_partkey")
+    nation = _table(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
+    customer = _table(spark, sf_dir, "customer").selectExpr("c_custkey AS o_custkey", "c_nationkey")
+    part = _table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS o_custkey", "p_name", "p_type", f"{_CENTS} AS price"
     )
+    dimension = part.join(customer, "o_custkey").join(nation, "c_nationkey")
+    facts = _table(spark, sf_dir, "orders").join(dimension, "o_custkey")
 
-    k, day = F.col("o_orderkey"), F.col("o_orderdate")
-    customer_id = F.col("o_custkey").cast("string")
-    quantity = 1 + k % 5
-    total = _cents(F.col("p_retailprice")) * quantity
-    state = F.col("o_orderstatus")
-    city = F.col("n_name")
-    channel = F.when(k % 7 < 3, "website").when(k % 7 < 5, "marketplace").otherwise("mobile app")
-    written = (
-        F.when(k % 101 == 0, "not a date")
-        .when(k % 4 == 0, F.date_format(day, "yyyy-MM-dd HH:mm:ss"))
-        .when(k % 4 == 1, F.date_format(day, "yyyy-MM-dd"))
-        .when(k % 4 == 2, F.date_format(day, "dd/MM/yyyy"))
-        .otherwise(F.date_format(day, "MMM dd, yyyy"))
+    named = facts.selectExpr(
+        "o_orderkey AS k", "o_custkey", "o_orderstatus", "o_orderdate AS day", "n_name", "p_name",
+        "p_type", "price * (1 + o_orderkey % 5) AS total",
+        """CASE WHEN o_orderkey % 7 < 3 THEN 'website' WHEN o_orderkey % 7 < 5 THEN 'marketplace'
+                ELSE 'mobile app' END AS channel""",
+        """explode(filter(array(0, IF(o_orderkey % 11 = 0, 1, NULL), IF(o_orderkey % 29 = 0, 2, NULL)),
+                   c -> c IS NOT NULL)) AS copy""",
     )
-    rows = facts.select(
-        F.concat(F.lit("ORD-"), k.cast("string")).alias("order_id"),
-        F.when(k % 97 == 0, "P-none").otherwise(F.concat(F.lit("P"), customer_id)).alias("product_id"),
-        F.concat(F.lit(" "), F.col("p_name")).alias("product_name"),
-        F.col("p_type").alias("kategori"),
-        quantity.alias("quantity"),
-        F.when(k % 13 == 0, None)
-        .when(k % 17 == 0, -total)
-        .when(k % 19 == 0, 0)
-        .otherwise(total)
-        .cast("double")
-        .alias("total_harga"),
-        written.alias("tanggal_order"),
-        F.when(k % 3 == 0, F.upper(city))
-        .when(k % 3 == 1, F.concat(F.lit(" "), F.lower(city)))
-        .otherwise(city)
-        .alias("kota"),
-        F.when(k % 2 == 0, F.upper(channel)).otherwise(channel).alias("channel"),
-        F.when(k % 103 == 0, "Returned")
-        .when(k % 23 == 0, "CANCELLED")
-        .when(state == "F", "completed")
-        .when(state == "O", "Shipped")
-        .when(state == "P", "pending")
-        .alias("status"),
-        F.when(k % 6 != 0, F.concat(F.lit("Customer"), customer_id, F.lit("@Email.com")))
-        .alias("customer_email"),
-        F.explode(
-            F.array_compact(
-                F.array(
-                    F.lit(0), F.when(k % 11 == 0, 1), F.when(k % 29 == 0, 2)
-                )
-            )
-        ).alias("_copy"),
-        (3 * k).alias("pos"),
+    return named.selectExpr(
+        "concat('ORD-', k) AS order_id",
+        "IF(k % 97 = 0, 'P-none', concat('P', o_custkey)) AS product_id",
+        "concat(' ', p_name) AS product_name",
+        "p_type AS kategori",
+        "1 + k % 5 AS quantity",
+        """CAST(CASE WHEN k % 13 = 0 THEN NULL WHEN k % 17 = 0 THEN -total
+                     WHEN k % 19 = 0 THEN 0 ELSE total END AS DOUBLE) AS total_harga""",
+        """CASE WHEN k % 101 = 0 THEN 'not a date'
+                WHEN k % 4 = 0 THEN date_format(day, 'yyyy-MM-dd HH:mm:ss')
+                WHEN k % 4 = 1 THEN date_format(day, 'yyyy-MM-dd')
+                WHEN k % 4 = 2 THEN date_format(day, 'dd/MM/yyyy')
+                ELSE date_format(day, 'MMM dd, yyyy') END AS tanggal_order""",
+        """CASE WHEN copy = 2 AND k % 3 = 1 THEN concat(' ', lower(n_name))
+                WHEN copy = 2 THEN lower(n_name)
+                WHEN k % 3 = 0 THEN upper(n_name)
+                WHEN k % 3 = 1 THEN concat(' ', lower(n_name))
+                ELSE n_name END AS kota""",
+        "IF(k % 2 = 0, upper(channel), channel) AS channel",
+        """CASE WHEN k % 103 = 0 THEN 'Returned' WHEN k % 23 = 0 THEN 'CANCELLED'
+                WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderstatus = 'O' THEN 'Shipped'
+                WHEN o_orderstatus = 'P' THEN 'pending' END AS status""",
+        "IF(k % 6 = 0, NULL, concat('Customer', o_custkey, '@Email.com')) AS customer_email",
+        "3 * k + copy AS pos",
     )
-    copy = F.col("_copy")
-    return rows.withColumns({
-        "kota": F.when(copy == 2, F.lower("kota")).otherwise(F.col("kota")),
-        "pos": F.col("pos") + copy,
-    }).drop("_copy")
