@@ -22,33 +22,51 @@ _TIME = r"\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,6})?)?"
 _MONTH_NUMBER = r"0?[1-9]|1[0-2]"
 _MONTH_NAME = "|".join(f"{m}|{m[:3]}" for m in MONTHS)
 
-# The formats the sources use: ISO with or without a time, day/month/year, and
-# a short month name, which Spark's formatter reads.
+# The formats the sources use: ISO with or without a time, numbers with slashes
+# in the order of the policy, and a short month name, which Spark's formatter reads.
 _ISO = rf"^\d{{4}}-\d{{1,2}}-\d{{1,2}}(?:[ T]{_TIME})?$"
 _DAY_FIRST = (rf"^(\d{{1,2}})/({_MONTH_NUMBER})/(\d{{4}})$", "$3-$2-$1")
+_MONTH_FIRST = (rf"^({_MONTH_NUMBER})/(\d{{1,2}})/(\d{{4}})$", "$3-$1-$2")
 _SHORT_NAME = r"^[A-Za-z]{3} \d{1,2}, \d{4}$"
 
-# Formats only guessed at: numbers are month first, and day first where the
-# month would be above 12.
-_GUESSED = [
-    (rf"^({_MONTH_NUMBER})([/-])(\d{{1,2}})\2(\d{{4}})((?: {_TIME})?)$", "$4-$1-$3$5"),
-    (rf"^(\d{{1,2}})([/-])({_MONTH_NUMBER})\2(\d{{4}})((?: {_TIME})?)$", "$4-$3-$1$5"),
-    (rf"^(\d{{4}})([/-])(\d{{1,2}})\2(\d{{1,2}})((?: {_TIME})?)$", "$1-$3-$4$5"),
-    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
-]
-# Month names go to "day short-month year"; the look-ahead checks the whole name.
-_NAMED = [
-    (rf"(?i)^(?=(?:{_MONTH_NAME})\b)([a-z]{{3}})[a-z]* (\d{{1,2}}),? (\d{{4}})$", "$2 $1 $3"),
-    (rf"(?i)^(\d{{1,2}})[ -](?=(?:{_MONTH_NAME})\b)([a-z]{{3}})[a-z]*[ -](\d{{4}})$", "$1 $2 $3"),
-]
+# Formats only guessed at. Numbers are month first, and day first where the month
+# would be above 12; then year first, with slashes or nothing in between. Groups
+# of the alternatives that do not fit are empty in the rewritten text.
+_DAY, _YEAR = r"\d{1,2}", r"\d{4}"
+_TO_ISO = (
+    rf"^(?:({_MONTH_NUMBER})([/-])({_DAY})\2({_YEAR})|({_DAY})([/-])({_MONTH_NUMBER})\6({_YEAR})"
+    rf"|({_YEAR})/({_DAY})/({_DAY})|({_YEAR})(\d\d)(\d\d))((?: {_TIME})?)$",
+    "$4$8$9$12-$1$7$10$13-$3$5$11$14$15",
+)
+# Any month name before or after the day; the look-ahead checks the whole name.
+_NAME = rf"(?=(?:{_MONTH_NAME})\b)([a-z]{{3}})[a-z]*"
+_TO_SHORT_NAME = (
+    rf"(?i)^(?:{_NAME} ({_DAY}),? |({_DAY})[ -]{_NAME}[ -])({_YEAR})$",
+    "$1$4 $2$3, $5",
+)
 
 
 def _iso(text: Column) -> Column:
     return text.try_cast("timestamp_ntz")
 
 
-def _named(text: Column, layout: str) -> Column:
-    return F.try_to_date(text, layout).cast("timestamp_ntz")
+def _short_name(text: Column) -> Column:
+    return F.try_to_date(text, "MMM d, yyyy").cast("timestamp_ntz")
+
+
+def _only(text: Column, pattern: str) -> Column:
+    """The text if it fits, else an empty one, which is no date."""
+    return F.regexp_extract(text, pattern, 0)
+
+
+def _guessed(text: Column) -> Column:
+    """One rewriting per kind of format, so that the generated code stays small
+    enough for the JVM to compile."""
+    spaced = F.regexp_replace(text, r"\s+", " ")
+    return F.coalesce(
+        _iso(_only(F.regexp_replace(spaced, *_TO_ISO), _ISO)),
+        _short_name(_only(F.regexp_replace(spaced, *_TO_SHORT_NAME), _SHORT_NAME)),
+    )
 
 
 def parse_date(c: Column, month_first: bool = False) -> Column:
@@ -58,18 +76,13 @@ def parse_date(c: Column, month_first: bool = False) -> Column:
     numeric shapes are month first either way.
     """
     text = strip(c)
-    parsed = F.when(text.rlike(_ISO), _iso(text))
-    if not month_first:
-        parsed = parsed.when(text.rlike(_DAY_FIRST[0]), _iso(F.regexp_replace(text, *_DAY_FIRST)))
-    parsed = parsed.when(text.rlike(_SHORT_NAME), _named(text, "MMM d, yyyy"))
-    # Runs of white space count as one; few rows get here to need it.
-    spaced = F.regexp_replace(text, r"\s+", " ")
-    for pattern, iso in _GUESSED:
-        parsed = parsed.when(spaced.rlike(pattern), _iso(F.regexp_replace(spaced, pattern, iso)))
-    for pattern, day_month_year in _NAMED:
-        rewritten = F.regexp_replace(spaced, pattern, day_month_year)
-        parsed = parsed.when(spaced.rlike(pattern), _named(rewritten, "d MMM yyyy"))
-    return parsed
+    slashes = _MONTH_FIRST if month_first else _DAY_FIRST
+    return (
+        F.when(text.rlike(_ISO), _iso(text))
+        .when(text.rlike(slashes[0]), _iso(F.regexp_replace(text, *slashes)))
+        .when(text.rlike(_SHORT_NAME), _short_name(text))
+        .otherwise(_guessed(text))
+    )
 
 
 def month_name(ts: Column) -> Column:

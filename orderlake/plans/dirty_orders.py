@@ -69,11 +69,8 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                 WHEN k % 4 = 1 THEN date_format(day, 'yyyy-MM-dd')
                 WHEN k % 4 = 2 THEN date_format(day, 'dd/MM/yyyy')
                 ELSE date_format(day, 'MMM dd, yyyy') END AS tanggal_order""",
-        """CASE WHEN copy = 2 AND k % 3 = 1 THEN concat(' ', lower(n_name))
-                WHEN copy = 2 THEN lower(n_name)
-                WHEN k % 3 = 0 THEN upper(n_name)
-                WHEN k % 3 = 1 THEN concat(' ', lower(n_name))
-                ELSE n_name END AS kota""",
+        """concat(IF(k % 3 = 1, ' ', ''), CASE WHEN copy = 2 OR k % 3 = 1 THEN lower(n_name)
+                WHEN k % 3 = 0 THEN upper(n_name) ELSE n_name END) AS kota""",
         "IF(k % 2 = 0, upper(channel), channel) AS channel",
         """CASE WHEN k % 103 = 0 THEN 'Returned' WHEN k % 23 = 0 THEN 'CANCELLED'
                 WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderstatus = 'O' THEN 'Shipped'

@@ -35,14 +35,20 @@ def classify(
 ) -> DataFrame:
     """Standardized rows with ``reject_reason``, NULL for clean ones. Repeats are
     judged over all rows, before any other rule removes one; an order in
-    ``known`` (each once) is a repeat from its first row on."""
-    flagged = flag_repeats(orders, "order_id", repeated=repeated)
+    ``known`` (each once) is a repeat from its first row on.
+
+    Rows are standardized below the joins: the reason then uses the finished
+    columns, where a pushed-down filter would parse each date a second time.
+    """
+    if repeated is None:
+        repeated = repeated_keys(orders, "order_id")
+    flagged = flag_repeats(standardize(orders), "order_id", repeated=repeated)
     if known is not None:
         flagged = flag_known(flagged, "order_id", known)
     reason = reject_reason(
         F.col("is_repeat"), F.col("total_harga"), F.col("tanggal_order"), F.col("status")
     )
-    return standardize(flagged).withColumn("reject_reason", reason).drop("is_repeat")
+    return flagged.withColumn("reject_reason", reason).drop("is_repeat")
 
 
 def rejected(classified: DataFrame) -> DataFrame:

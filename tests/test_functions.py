@@ -89,7 +89,7 @@ EITHER_WAY = [
     for v in (
         "31/02/2024", "02/30/2024", "13/13/2024", "2024-02-30", "2024-13-01", "abc", "",
         "1718000000", "05/06/24", "Junk 3, 2024", "Jun 03,2024", "2024-06-13 25:00:00",
-        "20241301", "1/2/2024x", "3/6-2024", None,
+        "20241301", "2024715", "2024/0715", "1/2/2024x", "3/6-2024", None,
     )
 ]
 
