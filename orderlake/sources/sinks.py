@@ -49,12 +49,12 @@ def sorted_by_time(df: DataFrame) -> DataFrame:
 def by_month(df: DataFrame):
     """A writer for the clean table: one folder per month, files in time order.
 
-    The ranges include the order, so a month or day that holds most of the rows
-    is still spread over many tasks.
+    The rebalance gathers a month without a sampling pass over the input, and
+    AQE splits a month that holds most of the rows and joins small ones.
     """
-    keys = ["order_month", "tanggal_order", "order_id"]
-    spread = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return spread.write.mode("overwrite").partitionBy("order_month")
+    gathered = df.hint("rebalance", F.col("order_month"))
+    ordered = gathered.sortWithinPartitions("order_month", "tanggal_order", "order_id")
+    return ordered.write.mode("overwrite").partitionBy("order_month")
 
 
 def replace_table(df: DataFrame, name: str) -> None:

@@ -138,3 +138,26 @@ def test_failed_publish_leaves_the_previous_run(spark, tmp_path):
     assert sinks.published(spark, root, "a", every_run=True).count() == 7
     with pytest.raises(ContractError):
         sinks.published(spark, root, "c")
+
+
+def test_hot_month_is_written_by_many_tasks(spark, tmp_path):
+    df = spark.range(0, 60000, 1, 8).selectExpr(
+        "IF(id % 10 = 0, concat('2024-0', id % 9 + 1), '2024-05') AS order_month",
+        "TIMESTAMP_NTZ '2024-05-01' + make_dt_interval(0, 0, 0, id % 977) AS tanggal_order",
+        "sha2(CAST(id AS string), 256) AS order_id",
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        sinks.by_month(df).parquet(str(tmp_path / "m"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    back = spark.read.parquet(str(tmp_path / "m"))
+    assert back.count() == 60000
+    hot = list((tmp_path / "m" / "order_month=2024-05").glob("*.parquet"))
+    months = [m for m in (tmp_path / "m").glob("order_month=*") if not m.name.endswith("-05")]
+    # A month that shares a hash partition with the hot one is split with it.
+    files = [len(list(m.glob("*.parquet"))) for m in months]
+    assert len(hot) > 4 and sorted(files)[len(files) // 2] == 1
+    for part in hot[:2]:
+        times = [r.tanggal_order for r in spark.read.parquet(str(part)).collect()]
+        assert times == sorted(times)
