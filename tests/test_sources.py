@@ -161,3 +161,9 @@ def test_hot_month_is_written_by_many_tasks(spark, tmp_path):
     for part in hot[:2]:
         times = [r.tanggal_order for r in spark.read.parquet(str(part)).collect()]
         assert times == sorted(times)
+
+
+def test_uneven_rows(spark, tmp_path):
+    (tmp_path / "u.csv").write_text("a,b,c\n1,2\n3,4,5,6\n\n7,8,9\n")
+    rows = readers.read_csv(spark, str(tmp_path / "u.csv")).orderBy("pos").collect()
+    assert [(r.a, r.b, r.c) for r in rows] == [("1", "2", None), ("3", "4", "5"), ("7", "8", "9")]
