@@ -1,12 +1,15 @@
 """The registered queries of this package and their SQL."""
 
-from orderlake.llm import chat, cuckoo, mixing, packing, urls
+from orderlake.llm import ann, chat, cuckoo, kneser, language, mixing, packing, urls
 
 QUERIES = {
+    "op1_ann": ann.op1_ann,
     "op2_cuckoo_dedup": cuckoo.op2_dedup,
     "op3_mixing": mixing.op3_mix,
+    "op4_language": language.op4_language,
     "op6_url_filter": urls.op6_urls,
     "op7_packing": packing.op7_packing,
+    "op9_quality": kneser.op9_quality,
     "op10_chat": chat.op10_chat,
 }
 
