@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from orderlake.sources.staging import stage
 
 NEIGHBOURS = 20
-PROJECTIONS = 96
+PROJECTIONS = 64
 #: Share of the projections a vector must collide in to be verified.
 THRESHOLD = 0.7
 #: Share of a shard that is verified before its windows stop growing.
-VERIFIED = 0.15
+VERIFIED = 0.18
 #: However small a shard is, so many are verified.
 LEAST_VERIFIED = 400
 GROWTH = 1.2
