@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: White space that separates words, as a character class body.
 BLANK = r"\x20\x09-\x0D"
@@ -27,3 +30,13 @@ def blocks_for(rows: int, least: int = 256) -> int:
 def unit_interval(h: Column) -> Column:
     """A 64-bit hash as a number from 0 (with) to 1 (without)."""
     return F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
+
+
+def local_table(spark: SparkSession, rows: list, schema: str | StructType) -> DataFrame:
+    """Rows the driver holds, as a relation whose size Spark knows: it broadcasts
+    it below its threshold and joins it by shuffle beyond."""
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows)) or [[] for _ in kind]
+    fields = to_arrow_schema(kind)
+    arrays = [pa.array(list(c), f.type) for c, f in zip(columns, fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields), kind)

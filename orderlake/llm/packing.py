@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderlake.llm.common import blocks_for, unit_interval
+from orderlake.llm.common import blocks_for, local_table, unit_interval
 from orderlake.sources.staging import stage
 
 WINDOW = 2048
@@ -18,7 +20,7 @@ STEP = 8
 #: Parts of a combination the solver may use.
 DEPTH = 3
 END_ID = 1
-MAX_CACHED = 400_000
+MAX_CACHED = 700_000
 TOKENIZER = "word_bpe_49k.json"
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -31,35 +33,62 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 class _Ids(dict):
     """Ids of a word between blanks as little-endian bytes; the tokenizer never
-    joins across ASCII blanks, so a word's ids do not depend on its neighbours."""
+    joins across ASCII blanks, so a word's ids do not depend on its neighbours.
+
+    A word of letters with ASCII marks behind it is its lower-case form, then the marks.
+    """
 
     def __init__(self, path: str):
         super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def _encode(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return np.asarray(ids, dtype="<u4").tobytes()
-
-    def __missing__(self, raw: bytes) -> bytes:
-        word = raw.decode()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.asarray(c.ids, dtype="<u4") for c in coded]
+
+    def _learn_letters(self, words: list[str]) -> None:
+        """Lower-case words of letters are one pre-token each, so many are coded
+        as one text and told apart by the ids that end a word."""
+        runs = [words[i:i + 1000] for i in range(0, len(words), 1000)]
+        for run, ids in zip(runs, self._encode([" ".join(run) for run in runs])):
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(run) or cuts[-1] != len(ids):
+                self._learn_each(run)
+                continue
+            raw, at = ids.tobytes(), 0
+            for word, cut in zip(run, (cuts * 4).tolist()):
+                self[word.encode()] = raw[at:cut]
+                at = cut
+
+    def _learn_each(self, words: list[str]) -> None:
+        for word, ids in zip(words, self._encode(words)):
+            self[word.encode()] = ids.tobytes()
+
+    def learn(self, words: set[bytes]) -> None:
+        """Make sure that all these words are held."""
         if len(self) > MAX_CACHED:
             self.clear()
-        base, mark = (word[:-1], word[-1]) if word[-1] in ".," else (word, "")
-        if base.isalpha() and "Σ" not in base:
-            lower = base.lower()
-            if mark:
-                ids = self[lower.encode()] + self[mark.encode()]
-            elif lower != base:
-                ids = self[lower.encode()]
-            else:
-                ids = self._encode(word)
-        else:
-            ids = self._encode(word)
-        self[raw] = ids
-        return ids
+        parts, plain = {}, set()
+        for raw in words:
+            if raw not in self:
+                word = raw.decode()
+                base = word.rstrip(punctuation)
+                if base.isalpha() and "Σ" not in base:
+                    parts[raw] = (base.lower(), word[len(base):])
+                else:
+                    parts[raw] = (word, "")
+                plain.update(part for part in parts[raw] if part)
+        new = [word for word in plain if word.encode() not in self]
+        self._learn_letters([word for word in new if word.isalpha()])
+        self._learn_each([word for word in new if not word.isalpha()])
+        for raw, (base, mark) in parts.items():
+            self[raw] = self[base.encode()] + (self[mark.encode()] if mark else b"")
 
 
 def pieces(documents: DataFrame, window: int = WINDOW, path: str | None = None) -> DataFrame:
@@ -75,9 +104,10 @@ def pieces(documents: DataFrame, window: int = WINDOW, path: str | None = None)
         wide = 4 * window
         for batch in batches:
             ids, starts, lengths, sums, totals = [], [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = text.as_py().split()
-                tokens = b"".join(map(known.__getitem__, words)) + end
+            texts = batch.column(1).to_pylist()
+            known.learn({word for text in texts for word in text.split()})
+            for doc_id, text in zip(batch.column(0).to_pylist(), texts):
+                tokens = b"".join(map(known.__getitem__, text.split())) + end
                 for at in range(0, len(tokens), wide):
                     piece = tokens[at:at + wide]
                     ids.append(doc_id)
@@ -209,9 +239,11 @@ def pack(cut: DataFrame, window: int = WINDOW, step: int = STEP) -> DataFrame:
             slots.append((n, used[n], used[n] + k * times, first, k))
             used[n] += k * times
         first += times
-    places = spark.createDataFrame(slots, "unit int, low bigint, high bigint, first bigint, many bigint")
-    blocks = spark.createDataFrame(
-        [(n, -(-c // width)) for n, c in counts.items()], "unit int, n_blocks bigint"
+    places = local_table(
+        spark, slots, "unit int, low bigint, high bigint, first bigint, many bigint"
+    )
+    blocks = local_table(
+        spark, [(n, -(-c // width)) for n, c in counts.items()], "unit int, n_blocks bigint"
     )
     dealt = rows.join(blocks, "unit").withColumn(
         "block", F.floor(unit_interval(F.xxhash64("piece")) * F.col("n_blocks"))
