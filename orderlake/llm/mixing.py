@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderlake.llm.common import BLANK, WORD, blocks_for, unit_interval, unused
+from orderlake.llm.common import BLANK, WORD, blocks_for, local_table, unit_interval, unused
 from orderlake.sources.staging import stage
 
 WEIGHTS = (1, 2, 3)
@@ -79,8 +79,8 @@ def plan_mix(rows: DataFrame, weights=None, most: int = MAX_EPOCHS) -> DataFrame
             row.no_source, row.name, row.source_size, target, epochs, left,
             math.ceil(row.n / width),
         ))
-    sources = spark.createDataFrame(
-        budgets,
+    sources = local_table(
+        spark, budgets,
         "no_source boolean, name string, source_size bigint, target double, epochs int, "
         "left bigint, n_blocks int",
     )
@@ -108,7 +108,9 @@ def plan_mix(rows: DataFrame, weights=None, most: int = MAX_EPOCHS) -> DataFrame
             ((F.col("rest") - F.col("end") + F.col("words")) / F.col("words")).alias("share"),
         )
     )
-    return sources.drop("n_blocks", "left").join(cuts, place, "left")
+    # One row per source again: as a local table its size is known to the joins.
+    plan = sources.drop("n_blocks", "left").join(cuts, place, "left")
+    return local_table(spark, plan.collect(), plan.schema)
 
 
 def order_key(key: str = "key"):
