@@ -1,6 +1,6 @@
 """The registered queries of this package and their SQL."""
 
-from orderlake.llm import ann, chat, cuckoo, kneser, language, mixing, packing, urls
+from orderlake.llm import ann, chat, cuckoo, jaccard, kneser, language, mixing, packing, urls
 
 QUERIES = {
     "op1_ann": ann.op1_ann,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_language": language.op4_language,
     "op6_url_filter": urls.op6_urls,
     "op7_packing": packing.op7_packing,
+    "op8_jaccard_join": jaccard.op8_jaccard,
     "op9_quality": kneser.op9_quality,
     "op10_chat": chat.op10_chat,
 }
