@@ -1,12 +1,13 @@
 """The registered queries of this package and their SQL."""
 
-from orderlake.llm import ann, chat, cuckoo, jaccard, kneser, language, mixing, packing, urls
+from orderlake.llm import ann, chat, cuckoo, jaccard, kneser, language, mixing, packing, suffixes, urls
 
 QUERIES = {
     "op1_ann": ann.op1_ann,
     "op2_cuckoo_dedup": cuckoo.op2_dedup,
     "op3_mixing": mixing.op3_mix,
     "op4_language": language.op4_language,
+    "op5_repeats": suffixes.op5_repeats,
     "op6_url_filter": urls.op6_urls,
     "op7_packing": packing.op7_packing,
     "op8_jaccard_join": jaccard.op8_jaccard,
