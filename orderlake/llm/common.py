@@ -40,3 +40,15 @@ def local_table(spark: SparkSession, rows: list, schema: str | StructType) -> Da
     fields = to_arrow_schema(kind)
     arrays = [pa.array(list(c), f.type) for c, f in zip(columns, fields)]
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields), kind)
+
+
+#: Ids (8 bytes each) that may go to every executor.
+MAX_SENT_IDS = 500_000
+
+
+def with_ids(rows: DataFrame, key: str, ids: DataFrame, name: str) -> DataFrame:
+    """The rows whose ``key`` is among ``ids`` (column ``name``, NULL is an id).
+    Counted, and sent to the rows while they are few; beyond that, both are
+    shuffled and sorted."""
+    way = "broadcast" if ids.count() <= MAX_SENT_IDS else "merge"
+    return rows.join(ids.hint(way), F.col(key).eqNullSafe(F.col(name)), "left_semi")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderlake.llm.characters import chunks, flatten
-from orderlake.llm.common import unused
+from orderlake.llm.common import unused, with_ids
 from orderlake.sources.staging import stage
 
 #: Characters fold into 256 symbols (ASCII as it is, the others by a hash into
@@ -27,7 +27,7 @@ SLACK = 0.02
 PRIOR = 200
 #: Languages with fewer trusted documents use the quantile of all.
 LEAST_TRUSTED = 100
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -213,9 +213,9 @@ def judge(documents: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -
 
 
 def _fitted(documents: DataFrame, labels: DataFrame, quantile: float):
-    trusted = trusted_ids(labels)
+    trusted = stage(trusted_ids(labels), "trusted-ids")
     own = documents.select("doc_id", "lang", "text")
-    model = fit(own.join(trusted, F.col("doc_id") == F.col("trusted_id"), "left_semi"))
+    model = fit(with_ids(own, "doc_id", trusted, "trusted_id"))
     scored, nats, chars = score(own, model)
     small = stage(scored.select("doc_id", "lang", F.col(nats).alias("nats"), F.col(chars).alias("chars")), "perplexities")
     return small, model, trusted, thresholds(small, trusted, quantile)
