@@ -10,13 +10,14 @@ them, and only the others are compared themselves.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from orderlake.llm.common import unused
+from orderlake.llm.common import unused, with_ids
 from orderlake.llm.components import components
 from orderlake.llm.shingles import set_digest, shingle_sets
 from orderlake.sources.staging import stage
@@ -126,25 +127,47 @@ def _shared(listed: DataFrame) -> DataFrame:
 
 
 def _with_leaders(listed: DataFrame, percent: int) -> DataFrame:
-    """Each entry's list leader: the first entry, or the first one too large to
-    link with the leader before it. Rows where leader and set differ."""
+    """Pairs of a list's leader and a set: the first entry leads, then the first
+    one too large to link with the leader before it."""
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, leader, size = None, 0, 0
         for batch in batches:
-            pairs = []
+            pairs = Counter()
             columns = (batch.column(i).to_pylist() for i in (0, 1, 2))
             for t, sig, n in zip(*columns):
                 if t != token or percent * n > 100 * size:
                     token, leader, size = t, sig, n
                 elif sig != leader:
-                    pairs.append((leader, sig))
-            pairs = list(dict.fromkeys(pairs))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"]
-            )
+                    pairs[leader, sig, size, n] += 1
+            yield _pair_batch(pairs)
+
+    return _summed(listed.mapInArrow(lead, _PAIRS), percent)
+
+
+_PAIRS = "a bigint, b bigint, n_a int, n_b int, shared int"
+
+
+def _pair_batch(pairs: Counter) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    columns = [pa.array([p[i] for p in pairs], kind) for i, kind in enumerate(kinds)]
+    return pa.RecordBatch.from_arrays(
+        [*columns, pa.array(pairs.values(), pa.int32())], names=["a", "b", "n_a", "n_b", "shared"]
+    )
 
-    return listed.mapInArrow(lead, "a bigint, b bigint").distinct()
+
+def _summed(pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose shared prefix tokens suffice: a common token outside both
+    prefixes lies behind the prefix of one of the two."""
+    union = F.col("n_a") + F.col("n_b")
+    behind = F.ceil(F.lit(percent) * F.greatest("n_a", "n_b") / 100) - 1
+    needed = F.ceil(F.lit(percent) * union / (100 + percent))
+    sums = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
+    return sums.where(F.col("shared") + behind >= needed).select("a", "b")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
 
 
 def _needed(n, m, percent: int):
@@ -154,31 +177,35 @@ def _needed(n, m, percent: int):
 
 def _open_pairs(listed: DataFrame, percent: int) -> DataFrame:
     """Pairs of a list that are not in one component yet and may link by size and
-    by the places of the token. Blocks of a list are skipped as a whole when
-    the tokens left behind their entries cannot suffice."""
+    by the places of the token: no more than the tokens before the nearer place
+    and those from the farther one on can be common. Blocks of a list are
+    skipped as a whole by their largest places and rests."""
 
     def join(run: list[np.ndarray]):
         sig, n, pos, comp = run
         rest = n - pos
-        out = []
         if (comp == comp[0]).all():
-            return out
-        tops = [rest[b:b + BLOCK].max() for b in range(0, len(n), BLOCK)]
+            return
+        tops = [(pos[b:b + BLOCK].max(), rest[b:b + BLOCK].max()) for b in range(0, len(n), BLOCK)]
         for i in range(len(n) - 1):
             stop = np.searchsorted(n, 100 * n[i] // percent, side="right")
             for b in range((i + 1) // BLOCK, -(-stop // BLOCK)):
                 from_ = max(i + 1, b * BLOCK)
-                if min(rest[i], tops[b]) < _needed(n[i], n[from_], percent):
+                far, left = tops[b]
+                if min(pos[i], far) + min(rest[i], left) < _needed(n[i], n[from_], percent):
                     continue
                 at = np.arange(from_, min(stop, (b + 1) * BLOCK))
-                fit = (comp[at] != comp[i]) & (np.minimum(rest[i], rest[at]) >= _needed(n[i], n[at], percent))
-                out += [(sig[i], j) for j in sig[at[fit]]]
-        return out
+                most = np.minimum(pos[i], pos[at]) + np.minimum(rest[i], rest[at])
+                at = at[(comp[at] != comp[i]) & (most >= _needed(n[i], n[at], percent))]
+                for other, size in zip(sig[at].tolist(), n[at].tolist()):
+                    one, two = (sig[i], n[i]), (other, size)
+                    (x, n_x), (y, n_y) = min(one, two), max(one, two)
+                    yield int(x), int(y), int(n_x), int(n_y)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in _ended(batches):
-            pairs = []
+            pairs = Counter()
             if batch is not None and held is not None:
                 batch = pa.concat_batches([held, batch])
             whole = batch if batch is not None else held
@@ -193,13 +220,10 @@ def _open_pairs(listed: DataFrame, percent: int) -> DataFrame:
                 cuts = np.append(cuts, len(token))
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if b - a > 1:
-                    pairs += join([c[a:b] for c in columns])
-            pairs = {(min(p), max(p)) for p in pairs}
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"]
-            )
+                    pairs.update(join([c[a:b].astype(np.int64) for c in columns]))
+            yield _pair_batch(pairs)
 
-    return listed.select("token", "sig", "n", "pos", "comp").mapInArrow(read, "a bigint, b bigint").distinct()
+    return _summed(listed.select("token", "sig", "n", "pos", "comp").mapInArrow(read, _PAIRS), percent)
 
 
 def _ended(batches):
@@ -209,12 +233,13 @@ def _ended(batches):
 
 def _arrays(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """``sig, grams`` of the wanted sets, from the text of one document each."""
+    wanted = stage(wanted.select("sig", "first_doc"), "wanted-sets")
     ids = wanted.select(F.col("first_doc").alias("wanted_id")).distinct()
     rows = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
     )
-    texts = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
+    texts = with_ids(rows, "doc_id", ids, "wanted_id").select("text")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,10 +309,9 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     )
     shared = stage(_shared(_lists(_entries(documents, k, order, percent))), "shared-entries").distinct()
     lists = stage(_shared(_lists(shared, "n", "sig")), "lists")
-    wanted = sets.join(lists.select("sig").distinct(), "sig", "left_semi")
-    arrays = _arrays(documents, wanted, k)
-
-    first = _compared(_with_leaders(_lists(lists, "n", "sig"), percent), arrays)
+    leads = stage(_with_leaders(_lists(lists, "n", "sig"), percent), "leader-pairs")
+    arrays = _arrays(documents, sets.join(_ends(leads), "sig", "left_semi"), k)
+    first = _compared(leads, arrays)
     links = _links(first, percent)
     joined = stage(components(links), "first-components")
     comp = F.coalesce("component", "sig").alias("comp")
@@ -297,6 +321,9 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     ).select("token")
     pairs = stage(_open_pairs(_lists(open_lists.join(mixed, "token", "left_semi"), "n", "sig"), percent), "open-pairs")
 
+    missing = _ends(pairs).join(arrays.select("sig"), "sig", "left_anti")
+    arrays = arrays.unionByName(_arrays(documents, sets.join(missing, "sig", "left_semi"), k))
+
     # What a set's leader has in common with it bounds, or decides, its own answers.
     led = F.max_by(F.col("a"), F.col("common"))
     leaders = stage(
