@@ -1,0 +1,43 @@
+"""Nearest neighbours against brute force."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from orderlake.llm import ann
+
+
+def table(spark, vectors):
+    return spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>").selectExpr("*", "1 AS row", "2 AS id", "3 AS shard")
+
+
+def test_search(spark):
+    rng = np.random.default_rng(2)
+    vectors = [(i, [float(x) for x in rng.normal(size=16).astype(np.float32)]) for i in range(3000)]
+    vectors += [(3000 + i, vectors[40][1]) for i in range(60)]
+    vectors += [(4000, None), (4020, [0.0] * 16), (4040, [float("nan")] * 16), (4060, [1.0, None] * 8), (4080, [1.0] * 5), vectors[0]]
+    found = ann.search(table(spark, vectors), F.col("id") % 20 == 0).collect()
+    held = [v for v in dict(vectors[:3060]).items()]
+    data = np.array([v for _, v in held], dtype=np.float64)
+    ids = np.array([i for i, _ in held])
+    near = {}
+    for r in found:
+        near.setdefault(r.query_id, []).append(r)
+    assert set(near) == {int(i) for i in ids if i % 20 == 0}
+    hits = 0
+    for q, own in near.items():
+        own.sort(key=lambda r: r.rank)
+        assert [r.rank for r in own] == list(range(1, 21))
+        scores = data @ data[np.flatnonzero(ids == q)[0]]
+        where = {int(i): s for i, s in zip(ids, scores)}
+        assert all(abs(where[r.vec_id] - r.score) < 1e-9 and r.vec_id != q for r in own)
+        assert [(-r.score, r.vec_id) for r in own] == sorted((-r.score, r.vec_id) for r in own)
+        best = [int(i) for i in ids[np.lexsort((ids, -scores))] if i != q][:20]
+        hits += len(set(best) & {r.vec_id for r in own})
+    assert hits / (20 * len(near)) >= 0.9
+
+
+def test_few_vectors(spark):
+    few = table(spark, [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [0.5, 0.0])])
+    assert sorted(tuple(r)[:3] for r in ann.search(few, F.col("id") == 0).collect()) == [(0, 1, 1), (0, 2, 2)]
+    assert ann.search(few.limit(1), F.col("id") == 0).count() == 0
+    assert ann.search(few.limit(0), F.col("id") == 0).count() == 0
