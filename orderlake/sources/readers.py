@@ -27,6 +27,8 @@ def null_tokens(c: Column) -> Column:
 def number(c: Column, kind: str) -> Column:
     """Read a number; text that is none, a fraction in a whole-number column and
     NaN become NULL."""
+    # Java would also read type suffixes and hexadecimal numbers.
+    c = F.when(~c.rlike(r"(?i)\d\.?[df]\s*$|x"), c)
     value = c.try_cast("double")
     if kind == "bigint":
         whole = F.when(value == F.floor(value), value.try_cast("bigint"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from orderlake.contracts import POSITION, ContractError
 
 MANIFEST = "published"
-_ENTRY = "published_at string, run_id string, outputs array<string>"
+_ENTRY = "published_at string, run_id string, outputs array<string>, batches array<string>"
 
 
 def _plain_double(name: str):
@@ -63,10 +63,11 @@ def replace_table(df: DataFrame, name: str) -> None:
 
 
 def publish(
-    outputs: dict[str, DataFrame], root: str, run_id: str, monthly: tuple[str, ...] = ()
+    outputs: dict[str, DataFrame], root: str, run_id: str, monthly: tuple[str, ...] = (),
+    batches: list[str] | None = None,
 ) -> None:
-    """Write every output below its own run folder, then name the run in the
-    manifest. Readers follow the manifest, so a run that fails half-way leaves
+    """Write every output below its own run folder, then name the run, and the
+    landed batches it took, in the manifest. Readers follow the manifest, so a run that fails half-way leaves
     the previous one in place."""
     for name, df in outputs.items():
         path = _run_path(root, name, run_id)
@@ -76,7 +77,7 @@ def publish(
             df.write.mode("overwrite").parquet(path)
     spark = next(iter(outputs.values())).sparkSession
     now = datetime.now(timezone.utc).isoformat()
-    entry = spark.createDataFrame([(now, run_id, sorted(outputs))], _ENTRY)
+    entry = spark.createDataFrame([(now, run_id, sorted(outputs), batches or [])], _ENTRY)
     entry.coalesce(1).write.mode("append").json(f"{root}/{MANIFEST}")
 
 
@@ -84,12 +85,29 @@ def _manifest(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(_ENTRY).json(f"{root}/{MANIFEST}")
 
 
+def missing_path(error: AnalysisException) -> bool:
+    """Whether a read failed because there is nothing at its path, and not for
+    another fault."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def _entries(spark: SparkSession, root: str, column: str) -> list:
+    try:
+        return [row[0] for row in _manifest(spark, root).select(column).collect()]
+    except AnalysisException as error:
+        if missing_path(error):
+            return []
+        raise
+
+
 def published_runs(spark: SparkSession, root: str) -> list[str]:
     """Names of all complete runs; one manifest row each."""
-    try:
-        return [row.run_id for row in _manifest(spark, root).select("run_id").collect()]
-    except AnalysisException:
-        return []
+    return _entries(spark, root, "run_id")
+
+
+def published_batches(spark: SparkSession, root: str) -> set[str]:
+    """The landed batches that complete runs have taken."""
+    return {name for names in _entries(spark, root, "batches") for name in names or []}
 
 
 def published(

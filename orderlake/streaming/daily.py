@@ -15,7 +15,9 @@ from orderlake.contracts import DUPLICATE, ORDER_COLUMNS, ORDER_NUMBERS, POSITIO
 from orderlake.operators.dedupe import repeated_keys
 from orderlake.plans import strict
 from orderlake.sources.readers import csv_split, typed
-from orderlake.sources.sinks import publish, published, published_runs
+from orderlake.sources.sinks import (
+    missing_path, publish, published, published_batches, published_runs,
+)
 from orderlake.sources.staging import stage
 
 LANDED = "landed_at"
@@ -67,16 +69,17 @@ def land(
         spark.conf.set(_WRITERS, writers)
 
 
-def landed_after(spark: SparkSession, landing: str, last: str | None) -> DataFrame:
-    """Rows of the micro-batches after ``last``; earlier folders are not read.
+def landed_except(spark: SparkSession, landing: str, taken: set[str]) -> DataFrame:
+    """Rows of the micro-batches not taken yet; folders of the others are not
+    read. Which are new does not depend on the clock that named them.
 
     A row's place is its micro-batch, source file and split, then its place in
     the landed file, which holds a split's rows together and in order.
     """
     schema = spark.read.parquet(landing).drop(LANDED).schema.add(LANDED, StringType())
     rows = spark.read.schema(schema).parquet(landing)
-    if last is not None:
-        rows = rows.where(F.col(LANDED) > last)
+    if taken:
+        rows = rows.where(~F.col(LANDED).isin(sorted(taken)))
     place = F.struct(LANDED, POSITION, F.col("_metadata.row_index").alias("row"))
     return rows.withColumn(POSITION, place)
 
@@ -95,12 +98,15 @@ def clean_new(spark: SparkSession, landing: str, products: DataFrame, root: str)
     that of the last of them, or None if nothing was new."""
     runs = published_runs(spark, root)
     try:
-        fresh = landed_after(spark, landing, max(runs, default=None))
-    except AnalysisException:
-        return None
-    run_id = fresh.agg(F.max(LANDED)).first()[0]
-    if run_id is None:
+        fresh = landed_except(spark, landing, published_batches(spark, root))
+    except AnalysisException as error:
+        if missing_path(error):
+            return None
+        raise
+    batches = sorted(row[0] for row in fresh.select(LANDED).distinct().collect())
+    if not batches:
         return None
+    run_id = batches[-1]
     raw = stage(fresh.drop(LANDED), "landed-orders")
     repeated = stage(repeated_keys(raw, "order_id"), "repeated-orders")
     known = None
@@ -118,5 +124,5 @@ def clean_new(spark: SparkSession, landing: str, products: DataFrame, root: str)
         "rejected": strict.rejected(classified),
         "metrics": strict.metrics(classified, products),
     }
-    publish(outputs, root, run_id)
+    publish(outputs, root, run_id, batches=batches)
     return run_id

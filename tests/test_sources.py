@@ -167,3 +167,13 @@ def test_uneven_rows(spark, tmp_path):
     (tmp_path / "u.csv").write_text("a,b,c\n1,2\n3,4,5,6\n\n7,8,9\n")
     rows = readers.read_csv(spark, str(tmp_path / "u.csv")).orderBy("pos").collect()
     assert [(r.a, r.b, r.c) for r in rows] == [("1", "2", None), ("3", "4", "5"), ("7", "8", "9")]
+
+
+def test_java_number_suffixes_are_no_numbers(spark):
+    from pyspark.sql import functions as F
+    from orderlake.sources.readers import number
+
+    texts = ["5d", "5f", "5.D", "0x1p3", "5", " 5.0 ", "1e3"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    read = [r[0] for r in df.select(number(F.col("t"), "double")).collect()]
+    assert read == [None, None, None, None, 5.0, 5.0, 1000.0]

@@ -51,3 +51,18 @@ def test_several_batches_landed_before_one_run(spark, tmp_path):
     assert sinks.published_runs(spark, root) == [run_id]
     rows = sinks.published(spark, root, "clean").count()
     assert rows + sinks.published(spark, root, "rejected").count() == len(LINES)
+
+
+def test_a_batch_named_by_an_earlier_clock_is_read(spark, tmp_path):
+    from orderlake.sources.sinks import publish
+
+    root = str(tmp_path / "out")
+    frame = spark.createDataFrame([("o1",)], "order_id string")
+    publish({"clean": frame}, root, "20300101000000000", batches=["20300101000000000"])
+    landing = str(tmp_path / "landing")
+    for batch in ("20291231000000000", "20300101000000000"):
+        frame.selectExpr("order_id", "named_struct('file', 'f', 'block', 0) AS pos").write.parquet(
+            f"{landing}/{daily.LANDED}={batch}"
+        )
+    left = daily.landed_except(spark, landing, daily.published_batches(spark, root))
+    assert [r[0] for r in left.select(daily.LANDED).distinct().collect()] == ["20291231000000000"]
