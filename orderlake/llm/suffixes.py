@@ -1,18 +1,18 @@
 """Exact removal of repeated byte strings by merged Burrows-Wheeler transforms.
 
-Every string of ``LENGTH`` bytes holds an anchor: a gram whose hash is the least
-of all grams in the string. Equal strings hold equal anchors at equal places, so
-only the surroundings of anchors that occur twice can hold a repeat, and those
+Every string of ``LENGTH`` bytes has an anchor: the gram whose hash is the least
+of all grams in the string. Equal strings have equal anchors at equal places, so
+only the strings around anchors that occur twice can repeat, and those
 of one anchor can be looked at together. There, equal surroundings are one; the
 different ones are dealt into shards, each shard gets its suffix array and its
 transform, and the transforms are merged by refining their interleave, a
-character a round. After ``LENGTH`` rounds the blocks of the interleave are the
-intervals of suffixes with that long a common prefix: the repeated strings.
+letter of ten characters a round. After ``LENGTH`` characters the blocks of the
+interleave are the intervals of suffixes with that long a common prefix: the
+repeated strings.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from orderlake.llm.jaccard import _shared
-from orderlake.llm.shingles import _BASE, _INVERSE, _VALUES, _powers, _runs
+from orderlake.llm.shingles import _BASE, _INVERSE, _VALUES, _mix, _powers, _runs
 from orderlake.sources.staging import stage
 
 LENGTH = 100
@@ -43,47 +43,83 @@ def _slide(values: np.ndarray, width: int, best) -> np.ndarray:
     return out
 
 
-def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places and hashes of each text's anchors."""
-    width = length - gram + 1
+def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[np.ndarray, ...]]:
+    """Hashes of each text's anchors, and start, size and digest of their
+    surroundings: the bytes of the strings of ``length`` that have this anchor.
+
+    A string's anchor is its gram with the least upper half of the hash, the
+    first of several, so every string has one and equal strings the same.
+    """
     for a, b in _runs(texts):
         data = np.frombuffer(b"".join(texts[a:b]), np.uint8)
         sizes = np.fromiter(map(len, texts[a:b]), np.int64, b - a)
         ends = np.cumsum(sizes)
         n = len(data)
-        marked = np.zeros(n, bool)
-        hashes = np.zeros(n, np.uint64)
-        if n >= length:
+        begins = stops = np.zeros(0, np.int64)
+        hashes = digests = np.zeros(0, np.uint64)
+        # A string must lie in its text.
+        strings = np.flatnonzero(np.repeat(ends, sizes) - np.arange(n) >= length)
+        if len(strings):
             sums = np.zeros(n + 1, np.uint64)
             np.cumsum(_VALUES[data] * _powers(_BASE, n), out=sums[1:])
-            h = (sums[gram:] - sums[:-gram]) * _powers(_INVERSE, n - gram + 1)
-            h ^= h >> np.uint64(31)
-            h *= np.uint64(0xD6E8FEB86659FD93)
-            h |= np.uint64(1)
-            hashes[:len(h)] = h
-            hashes[len(h):] = np.uint64(2**64 - 1)
-            least = _slide(hashes, width, np.minimum)
-            # A string must lie in its text.
-            room = np.repeat(ends, sizes) - np.arange(n)
-            least[room < length] = 0
-            most = _slide(least[::-1], width, np.maximum)[::-1]
-            marked = (hashes == most) & (np.repeat(ends, sizes) - np.arange(n) >= gram)
-        at = np.flatnonzero(marked)
-        cuts = np.searchsorted(at, np.concatenate([[0], ends]))
+            back = _powers(_INVERSE, n)
+            h = _mix((sums[gram:] - sums[:-gram]) * back[:n - gram + 1])
+            place = np.uint64(0xFFFFFFFF)
+            least = _slide((h & ~place) | np.arange(len(h), dtype=np.uint64), length - gram + 1, np.minimum)[strings]
+            new = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+            begins = strings[new]
+            stops = strings[np.append(new[1:] - 1, len(strings) - 1)] + length
+            hashes = h[(least[new] & place).astype(np.int64)]
+            digests = _mix((sums[stops] - sums[begins]) * back[begins])
+        cuts = np.searchsorted(begins, np.concatenate([[0], ends]))
         for i in range(b - a):
-            own = at[cuts[i]:cuts[i + 1]]
-            yield own - (ends[i] - sizes[i]), hashes[own]
-
-
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Order of all suffixes of an integer array, by doubling; ends must differ."""
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    n, k = len(text), 1
+            own = slice(cuts[i], cuts[i + 1])
+            yield hashes[own], begins[own] - (ends[i] - sizes[i]), (stops - begins)[own], digests[own]
+
+
+def _stable(values: np.ndarray) -> np.ndarray:
+    """Stable order of whole numbers below 2**32, by two rounds of 16 bits."""
+    low = np.argsort((values & 0xFFFF).astype(np.uint16), kind="stable")
+    return low[np.argsort((values >> 16).astype(np.uint16)[low], kind="stable")]
+
+
+def step_for(length: int) -> int:
+    """Characters taken together: the largest divisor of the length up to 10."""
+    return max(d for d in range(1, 11) if length % d == 0)
+
+
+def letters(strings: list[bytes], step: int) -> tuple[np.ndarray, np.ndarray]:
+    """The joined strings, each with an end mark, as one letter a place: the rank,
+    from 1, of the ``step`` bytes from there, or 0 where the string ends before;
+    and the place within the string."""
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings)) + 1
+    data = np.frombuffer(b"\0".join(strings) + b"\0" * step, np.uint8).astype(np.int64)
+    n = int(sizes.sum())
+    rank, have = data, 1
+    while have < step:
+        # Bytes more that still fit: the rank is below 2**31.
+        more = min(4, step - have)
+        tail = np.zeros(len(rank) - more, np.int64)
+        for i in range(more):
+            tail = tail * 256 + data[have + i:have + i + len(tail)]
+        rank = np.unique(rank[:len(tail)] * 256**more + tail, return_inverse=True)[1]
+        have += more
+    place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    whole = place + step < np.repeat(sizes, sizes)
+    return np.where(whole, rank[:n] + 1, 0), place
+
+
+def suffix_array(letter: np.ndarray, step: int) -> np.ndarray:
+    """Order of all suffixes, read ``step`` places a letter, by doubling; those
+    too short for a letter come first and all differ."""
+    n, short = len(letter), letter == 0
+    rank = np.unique(np.where(short, np.cumsum(short), letter + n), return_inverse=True)[1].astype(np.int64)
+    k = step
     while True:
         after = np.full(n, -1, np.int64)
         after[:-k] = rank[k:]
         key = rank * (n + 1) + after + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         sorted_key = key[order]
         new = np.cumsum(np.append(0, sorted_key[1:] != sorted_key[:-1]))
         rank = np.empty(n, np.int64)
@@ -93,42 +129,38 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
             return order
 
 
-def shard_transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Places (in the joined strings, each with an end mark) in suffix order, and
-    the character before each: 0 for the start of a string, else byte + 1."""
-    count = len(strings)
-    sizes = np.fromiter(map(len, strings), np.int64, count) + 1
-    ends = np.cumsum(sizes) - 1
-    data = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
-    text = data.astype(np.int64) + count
-    text[ends] = np.arange(count)
-    order = suffix_array(text)
-    code = data.astype(np.uint16) + 1
-    code[ends] = 0
-    return order, code[order - 1]
-
-
-def merge_transforms(transforms: list[np.ndarray], counts: list[int], rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """The interleave of transforms after ``rounds`` characters, and its blocks:
-    suffixes of one block agree in so many characters.
-
-    A round sends every position to the suffix one character longer; stable
-    counting by that character keeps the order found so far. End marks sort by
-    shard and string and are blocks of their own.
+def shard_transform(letter: np.ndarray, place: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in suffix order, and the letter that leads to each: the one
+    ``step`` places before, 0 where the string begins after that."""
+    order = suffix_array(letter, step)
+    before = np.zeros(len(letter), np.int64)
+    before[step:] = letter[:-step]
+    before[place < step] = 0
+    return order, before[order]
+
+
+def merge_transforms(transforms: list[np.ndarray], rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """The interleave of transforms after ``rounds`` letters, and its blocks:
+    suffixes of one block agree in so many letters.
+
+    A round sends every position to the suffix one letter longer; stable
+    counting by that letter keeps the order found so far. Suffixes shorter than a
+    letter sort by shard and place and are blocks of their own.
     """
     chars = np.concatenate(transforms)
-    n, ends = len(chars), sum(counts)
+    n, counts = len(chars), [int((t == 0).sum()) for t in transforms]
+    ends = sum(counts)
     interleave = np.repeat(np.arange(len(transforms), dtype=np.uint8), [len(t) for t in transforms])
     marks = np.repeat(np.arange(len(counts), dtype=np.uint8), counts)
     block = np.zeros(n, np.int64)
-    current = np.empty(n, np.uint16)
+    current = np.empty(n, np.int64)
     for _ in range(rounds):
         current[np.argsort(interleave, kind="stable")] = chars
-        go = np.argsort(current, kind="stable")[ends:]
+        go = _stable(current)[ends:]
         char, source = current[go], block[go]
         fresh = (char[1:] != char[:-1]) | (source[1:] != source[:-1])
         interleave = np.concatenate([marks, interleave[go]])
-        block = np.concatenate([np.arange(ends), ends + np.cumsum(np.append(0, fresh))])
+        block = np.concatenate([np.arange(ends), ends + np.cumsum(np.append(0, fresh))[:len(go)]])
         if block[-1] == n - 1:
             break
     return interleave, block
@@ -139,8 +171,13 @@ def repeated(strings: list[bytes], length: int = LENGTH, shards: int = SHARDS) -
     once, an array pair for all of them; equal ones share ``group``."""
     shards = max(1, min(shards, len(strings)))
     parts = [strings[i::shards] for i in range(shards)]
-    made = [shard_transform(p) for p in parts]
-    interleave, block = merge_transforms([m[1] for m in made], [len(p) for p in parts], length)
+    step = step_for(length)
+    letter, inside = letters([s for part in parts for s in part], step)
+    ends = np.cumsum([sum(len(s) + 1 for s in part) for part in parts])[:-1]
+    made = [
+        shard_transform(own, at, step) for own, at in zip(np.split(letter, ends), np.split(inside, ends))
+    ]
+    interleave, block = merge_transforms([m[1] for m in made], length // step)
     order = np.argsort(interleave, kind="stable")
     place = np.empty(len(order), np.int64)
     place[order] = np.concatenate([m[0] for m in made])
@@ -170,51 +207,31 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 
 def _anchored(texts: DataFrame, length: int) -> DataFrame:
+    """``anchor, doc_id, tie, start, size, digest`` of each anchor's surroundings."""
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = list(anchors(batch.column(2).to_pylist(), length))
-            sizes = [len(at) for at, _ in found]
-            row = pa.array(np.repeat(np.arange(len(found)), sizes))
+            row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+            anchor, start, size, digest = (np.concatenate(x) for x in zip(*found))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([h for _, h in found]).view(np.int64)),
-                    batch.column(0).take(row), batch.column(1).take(row),
-                    pa.array(np.concatenate([at for at, _ in found]).astype(np.int32)),
-                ], names=["anchor", "doc_id", "tie", "pos"],
+                    pa.array(anchor.view(np.int64)), batch.column(0).take(row), batch.column(1).take(row),
+                    pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(digest.view(np.int64)),
+                ], names=["anchor", "doc_id", "tie", "start", "size", "digest"],
             )
 
-    return texts.mapInArrow(find, "anchor bigint, doc_id bigint, tie bigint, pos int")
-
+    return texts.where(F.octet_length("text") >= length).mapInArrow(
+        find, "anchor bigint, doc_id bigint, tie bigint, start int, size int, digest bigint"
+    )
 
-def _surroundings(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
-    """``anchor, doc_id, tie, start, around, digest`` of each shared anchor."""
-    reach = length - GRAM
-    lists = stage(places.groupBy("doc_id", "tie").agg(
-        F.collect_list(F.struct("pos", "anchor")).alias("found")
-    ).withColumnsRenamed({"doc_id": "d", "tie": "t"}), "places")
-    held = texts.join(
-        _sent(lists), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t"))
-    ).select("doc_id", "tie", "text", "found")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                found = batch.column(3)[i].as_py()
-                starts = [max(0, f["pos"] - reach) for f in found]
-                around = [text[s:f["pos"] + length] for s, f in zip(starts, found)]
-                n = len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([f["anchor"] for f in found], pa.int64()),
-                        pa.array([batch.column(0)[i].as_py()] * n, pa.int64()),
-                        pa.array([batch.column(1)[i].as_py()] * n, pa.int64()),
-                        pa.array(starts, pa.int32()), pa.array(around, pa.binary()),
-                        pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in around], pa.binary()),
-                    ], names=["anchor", "doc_id", "tie", "start", "around", "digest"],
-                )
-
-    return held.mapInArrow(
-        cut, "anchor bigint, doc_id bigint, tie bigint, start int, around binary, digest binary"
+def _with_bytes(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """``anchor, doc_id, tie, start, around``: the bytes of some surroundings."""
+    here = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t"))
+    around = F.substring("text", F.col("start") + 1, F.col("size"))
+    return texts.join(places.withColumnsRenamed({"doc_id": "d", "tie": "t"}), here).select(
+        "anchor", "doc_id", "tie", "start", around.alias("around")
     )
 
 
@@ -257,28 +274,24 @@ def repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     texts = texts.join(
         _sent(gone), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t")), "left_anti"
     )
-    listed = _anchored(texts.where(size >= length), length).repartition("anchor").sortWithinPartitions("anchor")
-    places = stage(_shared(listed), "shared-anchors")
-    around = stage(_surroundings(texts, places, length), "surroundings")
+    listed = _anchored(texts, length).repartition("anchor").sortWithinPartitions("anchor")
+    around = stage(_shared(listed), "shared-anchors")
 
     same = around.groupBy("anchor", "digest").agg(
-        F.min(F.struct("doc_id", "tie", "start")).alias("first"), F.count(F.lit(1)).alias("n")
+        F.min(F.struct("doc_id", "tie", "start", "size")).alias("first"), F.count(F.lit(1)).alias("n")
     )
     same = stage(same, "different-surroundings")
     again = same.where("n > 1").select(F.col("anchor").alias("a"), F.col("digest").alias("g"), "first")
-    here = F.struct("doc_id", "tie", "start")
-    covered = around.where(F.octet_length("around") >= length).join(
+    here = F.struct("doc_id", "tie", "start", "size")
+    covered = around.join(
         again, (F.col("anchor") == F.col("a")) & (F.col("digest") == F.col("g"))
     ).where(~here.eqNullSafe(F.col("first"))).select(
-        "doc_id", "tie", "start", (F.col("start") + F.octet_length("around")).alias("stop")
+        "doc_id", "tie", "start", (F.col("start") + F.col("size")).alias("stop")
     )
     several = same.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    chosen = same.join(several, "anchor", "left_semi").select(
-        F.col("anchor").alias("a"), F.col("digest").alias("g"), "first"
-    )
-    different = stage(around.join(
-        chosen, (F.col("anchor") == F.col("a")) & (F.col("digest") == F.col("g")) & here.eqNullSafe(F.col("first"))
-    ).select("anchor", "doc_id", "tie", "start", "around").distinct(), "compared-surroundings")
+    chosen = same.join(several, "anchor", "left_semi").select("anchor", "first.*")
+    # Rows may repeat; their texts then bring the same bytes again.
+    different = stage(_with_bytes(texts, chosen).dropDuplicates(["anchor", "doc_id", "tie", "start"]), "compared-surroundings")
     total = different.agg(F.sum(F.octet_length("around"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket")
