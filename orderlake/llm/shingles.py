@@ -11,7 +11,8 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-RUN_BYTES = 2_000_000
+#: A run needs about a hundred times as much memory for a moment.
+RUN_BYTES = 500_000
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
