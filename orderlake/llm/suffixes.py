@@ -27,7 +27,7 @@ from orderlake.sources.staging import stage
 LENGTH = 100
 GRAM = 32
 #: Bytes of surroundings a bucket holds, on average, and shards of a bucket.
-BUCKET_BYTES = 1_000_000
+BUCKET_BYTES = 500_000
 SHARDS = 4
 #: Joins send the smaller side to the texts while it has no more rows than this.
 MAX_SENT_ROWS = 4_000_000
@@ -71,10 +71,11 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Itera
             stops = strings[np.append(new[1:] - 1, len(strings) - 1)] + length
             hashes = h[(least[new] & place).astype(np.int64)]
             digests = _mix((sums[stops] - sums[begins]) * back[begins])
+        spans = stops - begins
         cuts = np.searchsorted(begins, np.concatenate([[0], ends]))
         for i in range(b - a):
             own = slice(cuts[i], cuts[i + 1])
-            yield hashes[own], begins[own] - (ends[i] - sizes[i]), (stops - begins)[own], digests[own]
+            yield hashes[own], begins[own] - (ends[i] - sizes[i]), spans[own], digests[own]
 
 
 def _stable(values: np.ndarray) -> np.ndarray:
