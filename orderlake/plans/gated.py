@@ -13,7 +13,7 @@ from orderlake.operators.marts import category_report, run_totals
 from orderlake.operators.profile import long_form, row_repeats
 from orderlake.operators.rules import drop_negative_price
 from orderlake.sources.sinks import publish
-from orderlake.sources.staging import stage
+from orderlake.sources.staging import stage, staged_run
 
 
 def transform(orders: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
@@ -52,15 +52,16 @@ def run(orders: DataFrame, root: str, run_id: str) -> None:
     Orders that repeat in the clean rows repeat in the raw ones too, so the gate
     looks for duplicates among the same staged keys.
     """
-    raw = stage(orders, "raw-orders")
-    repeated = stage(repeated_keys(raw, "order_id"), "repeated-orders")
-    clean = stage(transform(raw, repeated), "gated-orders")
-    require(quality_checks(clean, repeated=repeated))
-    report = stage(category_report(clean), "category-report")
-    outputs = {
-        "clean": clean,
-        "report": report,
-        "totals": run_totals(report),
-        "metrics": metrics(raw, repeated),
-    }
-    publish(outputs, root, run_id)
+    with staged_run(orders.sparkSession):
+        raw = stage(orders, "raw-orders")
+        repeated = stage(repeated_keys(raw, "order_id"), "repeated-orders")
+        clean = stage(transform(raw, repeated), "gated-orders")
+        require(quality_checks(clean, repeated=repeated))
+        report = stage(category_report(clean), "category-report")
+        outputs = {
+            "clean": clean,
+            "report": report,
+            "totals": run_totals(report),
+            "metrics": metrics(raw, repeated),
+        }
+        publish(outputs, root, run_id)

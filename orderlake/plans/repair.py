@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from orderlake.contracts import POSITION
+from orderlake.contracts import POSITION, ContractError
 from orderlake.functions.dates import parse_date
 from orderlake.functions.text import clean_lower, clean_title, strip
-from orderlake.operators.checks import catalog_checks, clean_price_check, mart_checks
+from orderlake.operators.checks import catalog_checks, clean_price_check, mart_checks, require
 from orderlake.operators.dedupe import keep_first, repeated_keys
 from orderlake.operators.enrich import unique_unit_price
 from orderlake.operators.marts import sales_by_category_city, sales_by_channel_status
 from orderlake.operators.profile import long_form
 from orderlake.operators.rules import needs_repair, repair_price
 from orderlake.sources.sinks import replace_table
-from orderlake.sources.staging import stage
+from orderlake.sources.staging import stage, staged_run
 
 
 def clean_products(products: DataFrame) -> DataFrame:
@@ -54,24 +54,41 @@ def metrics(orders: DataFrame) -> DataFrame:
     return long_form(one_row, "metric", "value")
 
 
+def require_unique(products: DataFrame) -> None:
+    """Raise with the first few repeated keys of a catalog, if any."""
+    repeated = products.groupBy("product_id").count().where("count > 1").select("product_id")
+    keys = [str(row[0]) for row in repeated.orderBy("product_id").take(10)]
+    if keys:
+        raise ContractError(f"the catalog lists a product more than once: {', '.join(keys)}")
+
+
 def run(orders: DataFrame, products: DataFrame, database: str = "default") -> DataFrame:
-    """Replace the clean table and its two marts; returns the checks made on them.
+    """Replace the clean table, its two marts and the counters; returns the checks.
 
-    The rows are staged first, so a table is only replaced by a complete result.
+    Everything is staged and checked first: a repeated catalog key, a negative
+    price left or a mart that does not add up stops the run with all tables as
+    they were. Products missing from the catalog are only reported.
     """
-    catalog = clean_products(products)
-    raw = stage(orders, "raw-orders")
-    repeated = stage(repeated_keys(raw, "order_id"), "repeated-orders")
-    clean = stage(transform(raw, catalog, repeated).drop(POSITION), "repaired-orders")
-    spark = clean.sparkSession
-    replace_table(clean, f"{database}.cleaned_orders")
-    stored = spark.table(f"{database}.cleaned_orders")
-    replace_table(sales_by_category_city(stored), f"{database}.sales_by_category_city")
-    replace_table(sales_by_channel_status(stored), f"{database}.sales_by_channel_status")
-    by_city = spark.table(f"{database}.sales_by_category_city")
-    by_status = spark.table(f"{database}.sales_by_channel_status")
-    return (
-        clean_price_check(stored)
-        .unionByName(catalog_checks(stored, catalog))
-        .unionByName(mart_checks(stored, by_city, by_status))
-    )
+    spark = orders.sparkSession
+    with staged_run(spark):
+        catalog = stage(clean_products(products), "catalog")
+        require_unique(catalog)
+        raw = stage(orders, "raw-orders")
+        repeated = stage(repeated_keys(raw, "order_id"), "repeated-orders")
+        tables = {"cleaned_orders": stage(transform(raw, catalog, repeated).drop(POSITION), "repaired-orders")}
+        clean = tables["cleaned_orders"]
+        by_city = stage(sales_by_category_city(clean), "category-city")
+        by_status = stage(sales_by_channel_status(clean), "channel-status")
+        counters = stage(metrics(raw), "repair-metrics")
+        reports = catalog_checks(clean, catalog)
+        gate = clean_price_check(clean).unionByName(mart_checks(clean, by_city, by_status))
+        found = gate.unionByName(reports).collect()
+        checks = spark.createDataFrame(found, gate.schema)
+        require(checks.where("check <> 'product_known'"))
+        tables |= {
+            "sales_by_category_city": by_city, "sales_by_channel_status": by_status,
+            "repair_metrics": counters,
+        }
+        for name, df in tables.items():
+            replace_table(df, f"{database}.{name}")
+    return checks

@@ -14,7 +14,7 @@ from orderlake.operators.marts import sales_summary
 from orderlake.operators.profile import long_form
 from orderlake.operators.rules import only_completed, reject_reason
 from orderlake.sources.sinks import publish
-from orderlake.sources.staging import stage
+from orderlake.sources.staging import stage, staged_run
 
 
 def standardize_text(orders: DataFrame) -> DataFrame:
@@ -112,13 +112,14 @@ def run(orders: DataFrame, products: DataFrame, root: str, run_id: str) -> None:
     first fixes row positions, the second gives the join its real size, and
     the third is read by four outputs.
     """
-    raw = stage(orders, "raw-orders")
-    repeated = stage(repeated_keys(raw, "order_id"), "repeated-orders")
-    classified = stage(classify(raw, repeated), "classified-orders")
-    outputs = {
-        "clean": clean(classified, products),
-        "rejected": rejected(classified),
-        "summary": summary(classified),
-        "metrics": metrics(classified, products),
-    }
-    publish(outputs, root, run_id, monthly=("clean",))
+    with staged_run(orders.sparkSession):
+        raw = stage(orders, "raw-orders")
+        repeated = stage(repeated_keys(raw, "order_id"), "repeated-orders")
+        classified = stage(classify(raw, repeated), "classified-orders")
+        outputs = {
+            "clean": clean(classified, products),
+            "rejected": rejected(classified),
+            "summary": summary(classified),
+            "metrics": metrics(classified, products),
+        }
+        publish(outputs, root, run_id, monthly=("clean",))

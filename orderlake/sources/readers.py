@@ -11,6 +11,9 @@ from orderlake.contracts import (
 )
 
 
+_MALFORMED = "_malformed_row"
+
+
 def require_columns(df: DataFrame, required: list[str], name: str) -> DataFrame:
     """Check that the columns are there; their order is free, extras may follow."""
     missing = sorted(set(required) - set(df.columns))
@@ -78,16 +81,36 @@ def read_csv(
 
     All files of one path must share a header; one that differs fails the read
     rather than shifting columns. ``multi_line`` allows line breaks inside
-    quotes, at the cost of one task per file.
+    quotes, at the cost of one task per file. Short rows are filled up; a row
+    with more fields than the header, or torn by a line break inside quotes,
+    fails the read when it is reached.
     """
+    reader = spark.read.options(
+        header=True, escape='"', enforceSchema=False, multiLine=multi_line
+    )
+    schema = _open(lambda: reader.csv(path).schema, path)
     raw = _open(
-        lambda: spark.read.csv(
-            path, header=True, escape='"', enforceSchema=False, multiLine=multi_line
+        lambda: reader.schema(schema.add(_MALFORMED, "string")).csv(
+            path, columnNameOfCorruptRecord=_MALFORMED
         ),
         path,
     )
     require_columns(raw, required or [], path)
-    return typed(raw.select("*", csv_position().alias(POSITION)), numbers or {})
+    whole = raw.where(_readable(schema.names[:-1], path)).drop(_MALFORMED)
+    return typed(whole.select("*", csv_position().alias(POSITION)), numbers or {})
+
+
+def _readable(columns: list[str], path: str) -> Column:
+    """True, or an error for a row with surplus fields or an unpaired quote. Spark
+    hands over rows whose number of fields differs. It sees that only where it
+    reads every column, so all go into the message."""
+    bare = F.regexp_replace(_MALFORMED, r'"([^"]|"")*"', "")
+    surplus = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) >= len(columns)
+    message = F.concat(
+        F.lit(f"ContractError: a row of {path} has surplus fields or a quote that is not closed, "
+              "near "), F.concat_ws(",", *[F.col(f"`{c}`") for c in columns]),
+    )
+    return F.when(surplus | bare.contains('"'), F.raise_error(message).cast("boolean")).otherwise(True)
 
 
 def read_parquet(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,7 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from orderlake.contracts import POSITION, ContractError
 
 MANIFEST = "published"
-_ENTRY = "published_at string, run_id string, outputs array<string>, batches array<string>"
+_ENTRY = (
+    "published_at string, run_id string, attempt string, "
+    "outputs map<string, array<string>>, batches array<string>"
+)
 
 
 def _plain_double(name: str):
@@ -66,18 +70,20 @@ def publish(
     outputs: dict[str, DataFrame], root: str, run_id: str, monthly: tuple[str, ...] = (),
     batches: list[str] | None = None,
 ) -> None:
-    """Write every output below its own run folder, then name the run, and the
-    landed batches it took, in the manifest. Readers follow the manifest, so a run that fails half-way leaves
-    the previous one in place."""
+    """Write every output to a folder of this attempt, then name the attempt, its
+    columns and the landed batches it took in the manifest. Readers follow the
+    manifest, so one that fails half-way leaves what was published before,
+    also under the same ``run_id``."""
+    attempt = uuid4().hex
     for name, df in outputs.items():
-        path = _run_path(root, name, run_id)
+        path = _attempt_path(root, name, run_id, attempt)
         if name in monthly:
             by_month(df).parquet(path)
         else:
             df.write.mode("overwrite").parquet(path)
     spark = next(iter(outputs.values())).sparkSession
     now = datetime.now(timezone.utc).isoformat()
-    entry = spark.createDataFrame([(now, run_id, sorted(outputs), batches or [])], _ENTRY)
+    entry = spark.createDataFrame([(now, run_id, attempt, {name: df.columns for name, df in outputs.items()}, batches or [])], _ENTRY)
     entry.coalesce(1).write.mode("append").json(f"{root}/{MANIFEST}")
 
 
@@ -93,7 +99,7 @@ def missing_path(error: AnalysisException) -> bool:
 
 def _entries(spark: SparkSession, root: str, column: str) -> list:
     try:
-        return [row[0] for row in _manifest(spark, root).select(column).collect()]
+        return [row[0] for row in _manifest(spark, root).orderBy("published_at").select(column).collect()]
     except AnalysisException as error:
         if missing_path(error):
             return []
@@ -101,8 +107,8 @@ def _entries(spark: SparkSession, root: str, column: str) -> list:
 
 
 def published_runs(spark: SparkSession, root: str) -> list[str]:
-    """Names of all complete runs; one manifest row each."""
-    return _entries(spark, root, "run_id")
+    """Names of all complete runs, in the order they were first published."""
+    return list(dict.fromkeys(_entries(spark, root, "run_id")))
 
 
 def published_batches(spark: SparkSession, root: str) -> set[str]:
@@ -113,14 +119,18 @@ def published_batches(spark: SparkSession, root: str) -> set[str]:
 def published(
     spark: SparkSession, root: str, name: str, every_run: bool = False
 ) -> DataFrame:
-    """The output of the latest complete run, or of all of them."""
-    holding = _manifest(spark, root).where(F.array_contains("outputs", name))
-    newest = holding.orderBy(F.desc("published_at")).select("run_id")
+    """The output of the latest complete run, or of all of them, each by its
+    newest attempt; columns are in the order they were published in."""
+    entry = F.struct("published_at", "attempt", F.col("outputs")[name].alias("columns"))
+    newest = _manifest(spark, root).groupBy("run_id").agg(F.max(entry).alias("newest")).select(
+        "run_id", "newest.*"
+    ).where(F.col("columns").isNotNull()).orderBy(F.desc("published_at"))
     runs = (newest if every_run else newest.limit(1)).collect()
     if not runs:
         raise ContractError(f"no published run holds {name}")
-    return spark.read.parquet(*[_run_path(root, name, row.run_id) for row in runs])
+    paths = [_attempt_path(root, name, row.run_id, row.attempt) for row in runs]
+    return spark.read.option("basePath", f"{root}/{name}").parquet(*paths).select(runs[0].columns)
 
 
-def _run_path(root: str, name: str, run_id: str) -> str:
-    return f"{root}/{name}/run_id={run_id}"
+def _attempt_path(root: str, name: str, run_id: str, attempt: str) -> str:
+    return f"{root}/{name}/run_id={run_id}/attempt={attempt}"

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlake.contracts import OrderlakeError
 
 _SETTING = "spark.checkpoint.dir"
+_OPEN: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -28,5 +32,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     with an executor, still prune columns, and know the real size."""
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{name}-{uuid4().hex}"
+    if (paths := _OPEN.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+@contextmanager
+def staged_run(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside when the run ends, whether it was published
+    or failed. Nothing read from those folders may be used afterwards."""
+    paths: list[str] = []
+    token = _OPEN.set(paths)
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)

@@ -13,14 +13,17 @@ from pyspark.sql.types import StringType, StructType
 
 from orderlake.contracts import DUPLICATE, ORDER_COLUMNS, ORDER_NUMBERS, POSITION
 from orderlake.operators.dedupe import repeated_keys
+from orderlake.operators.marts import sales_summary
 from orderlake.plans import strict
 from orderlake.sources.readers import csv_split, typed
 from orderlake.sources.sinks import (
     missing_path, publish, published, published_batches, published_runs,
 )
-from orderlake.sources.staging import stage
+from orderlake.sources.staging import stage, staged_run
 
 LANDED = "landed_at"
+#: What the summary, which covers all runs, reads of earlier ones.
+SOLD = ["order_id", "kategori", "channel", "order_month", "status", "quantity", "total_harga"]
 _WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
@@ -107,22 +110,27 @@ def clean_new(spark: SparkSession, landing: str, products: DataFrame, root: str)
     if not batches:
         return None
     run_id = batches[-1]
-    raw = stage(fresh.drop(LANDED), "landed-orders")
-    repeated = stage(repeated_keys(raw, "order_id"), "repeated-orders")
-    known = None
-    if runs:
-        # The new orders are the small side: the history is read once, one
-        # column, without a shuffle while the new orders can be broadcast.
-        keys = stage(raw.select(F.col("order_id").alias("_key")).distinct(), "new-orders")
-        seen = known_orders(spark, root)
-        known = stage(
-            seen.join(keys, F.col("order_id").eqNullSafe(F.col("_key")), "left_semi"), "known-orders"
-        )
-    classified = stage(strict.classify(raw, repeated, known), "classified-orders")
-    outputs = {
-        "clean": strict.clean(classified, products),
-        "rejected": strict.rejected(classified),
-        "metrics": strict.metrics(classified, products),
-    }
-    publish(outputs, root, run_id, batches=batches)
+    with staged_run(spark):
+        raw = stage(fresh.drop(LANDED), "landed-orders")
+        repeated = stage(repeated_keys(raw, "order_id"), "repeated-orders")
+        known = None
+        if runs:
+            # The new orders are the small side: the history is read once, one
+            # column, without a shuffle while the new orders can be broadcast.
+            keys = stage(raw.select(F.col("order_id").alias("_key")).distinct(), "new-orders")
+            seen = known_orders(spark, root)
+            known = stage(
+                seen.join(keys, F.col("order_id").eqNullSafe(F.col("_key")), "left_semi"), "known-orders"
+            )
+        classified = stage(strict.classify(raw, repeated, known), "classified-orders")
+        sold = strict.accepted(classified).select(SOLD)
+        if runs:
+            sold = sold.unionByName(published(spark, root, "clean", every_run=True).select(SOLD))
+        outputs = {
+            "clean": strict.clean(classified, products),
+            "rejected": strict.rejected(classified),
+            "summary": sales_summary(sold),
+            "metrics": strict.metrics(classified, products),
+        }
+        publish(outputs, root, run_id, monthly=("clean",), batches=batches)
     return run_id

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from orderlake.contracts import GATED_COLUMNS, ORDER_COLUMNS, GateFailed
+from orderlake.contracts import GATED_COLUMNS, ORDER_COLUMNS, ContractError, GateFailed
 from orderlake.operators import checks, dedupe
 from orderlake.plans import gated, repair, strict
 from orderlake.sources import readers, sinks
@@ -168,6 +168,16 @@ def test_repair_run_replaces_its_tables(spark, orders, products):
         "no_negative_price": 0, "catalog_key_unique": 0, "product_known": 1,
         "category_city_total": 0, "channel_status_total": 0,
     }
+    counters = {r.metric: r.value for r in spark.table("repair_metrics").collect()}
+    assert counters["clean_rows"] == 9 and counters["rows_in"] == orders.count()
+
+    # A catalog that cannot be used leaves all tables as they were.
+    with pytest.raises(ContractError, match="more than once"):
+        repair.run(orders, products.unionByName(products))
+    with pytest.raises(GateFailed, match="no_negative_price"):
+        repair.run(orders, products.withColumn("harga_satuan", -F.abs("harga_satuan")))
+    assert spark.table("cleaned_orders").count() == 9
+    assert spark.table("cleaned_orders").where("total_harga < 0").isEmpty()
 
 
 def test_results_do_not_depend_on_partitions_or_splits(spark, files, orders, products):

@@ -164,9 +164,51 @@ def test_hot_month_is_written_by_many_tasks(spark, tmp_path):
 
 
 def test_uneven_rows(spark, tmp_path):
-    (tmp_path / "u.csv").write_text("a,b,c\n1,2\n3,4,5,6\n\n7,8,9\n")
-    rows = readers.read_csv(spark, str(tmp_path / "u.csv")).orderBy("pos").collect()
-    assert [(r.a, r.b, r.c) for r in rows] == [("1", "2", None), ("3", "4", "5"), ("7", "8", "9")]
+    (tmp_path / "u.csv").write_text('a,b,c\n1,2\n\n7,"8, ""x"" 9"\n7,8,9\n')
+    df = readers.read_csv(spark, str(tmp_path / "u.csv"))
+    rows = df.orderBy("pos").collect()
+    assert [(r.a, r.b, r.c) for r in rows] == [("1", "2", None), ("7", '8, "x" 9', None), ("7", "8", "9")]
+    assert df.count() == 3 and [r.c for r in df.select("c").collect()] == [None, None, "9"]
+
+
+@pytest.mark.parametrize("text", ["a,b\n1,2\n3,4,5\n", 'a,b\n1,2\n"x\ny",3\n', 'a,b\n1,2\n3,"x\ny"\n'])
+def test_rows_that_cannot_be_read_whole_fail(spark, tmp_path, text):
+    (tmp_path / "u.csv").write_text(text)
+    df = readers.read_csv(spark, str(tmp_path / "u.csv"))
+    for read in (df, df.select("b")):
+        with pytest.raises(Exception, match="ContractError"):
+            read.collect()
+    with pytest.raises(Exception, match="ContractError"):
+        df.count()
+
+
+def test_staged_folders_go_with_their_run(spark):
+    from pathlib import Path
+
+    def folders():
+        return {p.name for p in Path(staging.staging_root(spark).removeprefix("file:")).glob("of-a-run-*")}
+
+    with staging.staged_run(spark):
+        assert staging.stage(spark.range(3), "of-a-run").count() == 3 and folders()
+    assert not folders()
+    with pytest.raises(ValueError), staging.staged_run(spark):
+        staging.stage(spark.range(3), "of-a-run")
+        raise ValueError
+    assert not folders()
+
+
+def test_rerun_of_a_published_run(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    first = spark.range(3).selectExpr("'2024-01' AS order_month", "id", "TIMESTAMP_NTZ '2024-01-01' AS tanggal_order", "'o' AS order_id")
+    sinks.publish({"a": first, "b": spark.range(1)}, root, "r1", monthly=("a",))
+    bad = spark.range(1).selectExpr("raise_error('boom') AS id")
+    with pytest.raises(Exception, match="boom"):
+        sinks.publish({"a": first.limit(1), "b": bad}, root, "r1", monthly=("a",))
+    found = sinks.published(spark, root, "a")
+    assert found.count() == 3 and found.columns == first.columns
+    sinks.publish({"a": first.limit(2)}, root, "r1", monthly=("a",))
+    assert sinks.published(spark, root, "a", every_run=True).count() == 2
+    assert sinks.published_runs(spark, root) == ["r1"]
 
 
 def test_java_number_suffixes_are_no_numbers(spark):

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from orderlake.contracts import STRICT_COLUMNS
 from orderlake.plans import strict
 from orderlake.sources import readers, sinks
 from orderlake.streaming import daily
@@ -36,6 +37,9 @@ def test_runs_over_arriving_files_equal_one_run_over_all(spark, tmp_path):
     expected = strict.clean(whole, products)
     assert clean.exceptAll(expected).isEmpty() and expected.exceptAll(clean).isEmpty()
     assert clean.select(F.count_distinct("order_id")).first()[0] == clean.count()
+    assert clean.columns == STRICT_COLUMNS
+    summary, wanted = sinks.published(spark, root, "summary"), strict.summary(whole)
+    assert summary.exceptAll(wanted).isEmpty() and wanted.exceptAll(summary).isEmpty()
 
 
 def test_several_batches_landed_before_one_run(spark, tmp_path):
