@@ -28,26 +28,39 @@ FREQUENT = 0.0005
 #: A batch reports a token it holds this often; a frequent token is so in some batch.
 BATCH_REPORT = 4
 BLOCK = 64
+#: 64-bit words of a set's parity bits: whether a bucket of hashes holds an odd
+#: number of its tokens.
+PARITY_WORDS = 8
+_PARITY = [f"p{i}" for i in range(PARITY_WORDS)]
+
+
+def _parity(grams: np.ndarray) -> np.ndarray:
+    buckets = 64 * PARITY_WORDS
+    held = np.bincount((grams % np.uint64(buckets)).astype(np.int64), minlength=buckets)
+    return np.packbits((held & 1).astype(np.uint8)).view(np.int64)
 
 
 def _sets(documents: DataFrame, k: int) -> DataFrame:
-    """Kind 0: ``doc_id, mark, sig, n`` of each row. Kind 1: a token and how
-    many sets of a batch hold it."""
+    """Kind 0: ``doc_id, mark, sig, n`` and parity bits of each row. Kind 1: a
+    token and how many sets of a batch hold it."""
     rows = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
     )
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "doc_id", "mark", "sig", "n"]
+        names = ["kind", "doc_id", "mark", "sig", "n", *_PARITY]
         for batch in batches:
             sets = list(shingle_sets(batch.column(2).to_pylist(), k))
             size = len(sets)
+            if not size:
+                continue
+            bits = np.stack([_parity(s) for s in sets], axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.zeros(size, np.int8)), batch.column(0), batch.column(1),
                     pa.array([set_digest(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()), *map(pa.array, bits),
                 ], names=names,
             )
             tokens, n = np.unique(np.concatenate(sets), return_counts=True)
@@ -55,10 +68,12 @@ def _sets(documents: DataFrame, k: int) -> DataFrame:
             tokens, n = tokens[often].view(np.int64), n[often]
             empty = pa.nulls(len(tokens), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(len(tokens), np.int8)), empty, empty, pa.array(tokens), pa.array(n)], names=names
+                [pa.array(np.ones(len(tokens), np.int8)), empty, empty, pa.array(tokens), pa.array(n)]
+                + [empty] * PARITY_WORDS, names=names,
             )
 
-    return stage(rows.mapInArrow(build, "kind byte, doc_id bigint, mark bigint, sig bigint, n bigint"), "sets")
+    kinds = ["kind byte", *(f"{c} bigint" for c in ["doc_id", "mark", "sig", "n", *_PARITY])]
+    return stage(rows.mapInArrow(build, ", ".join(kinds)), "sets")
 
 
 class _Order:
@@ -166,6 +181,20 @@ def _summed(pairs: DataFrame, percent: int) -> DataFrame:
     return sums.where(F.col("shared") + behind >= needed).select("a", "b")
 
 
+def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose parity bits allow a link. Each bit that differs stands for
+    a token that only one of the two sets holds."""
+
+    def side(name: str) -> DataFrame:
+        bits = [F.col(c).alias(f"{c}_{name}") for c in _PARITY]
+        return sets.select(F.col("sig").alias(name), F.col("n").alias(f"n_{name}"), *bits)
+
+    apart = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in _PARITY), F.lit(0))
+    union = F.col("n_a") + F.col("n_b")
+    allowed = union - 2 * F.ceil(F.lit(percent) * union / (100 + percent))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= allowed).select("a", "b")
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
 
@@ -296,7 +325,7 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """
     spark = documents.sparkSession
     base = _sets(documents, k)
-    rows = base.where("kind = 0").select("doc_id", "mark", "sig", "n")
+    rows = base.where("kind = 0").select("doc_id", "mark", "sig", "n", *_PARITY)
     total = rows.count()
     often = base.where("kind = 1").groupBy("sig").agg(F.sum("n").alias("n")).where(
         F.col("n") >= max(2 * BATCH_REPORT, FREQUENT * total)
@@ -304,12 +333,13 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     order = spark.sparkContext.broadcast(_Order(often.column("sig").to_numpy().view(np.uint64)))
     sets = stage(
         rows.where("n > 0").groupBy("sig").agg(
-            F.min("doc_id").alias("first_doc"), F.first("n").alias("n")
+            F.min("doc_id").alias("first_doc"), *[F.max(c).alias(c) for c in ("n", *_PARITY)]
         ), "distinct-sets",
     )
     shared = stage(_shared(_lists(_entries(documents, k, order, percent))), "shared-entries").distinct()
     lists = stage(_shared(_lists(shared, "n", "sig")), "lists")
-    leads = stage(_with_leaders(_lists(lists, "n", "sig"), percent), "leader-pairs")
+    leads = _with_leaders(_lists(lists, "n", "sig"), percent)
+    leads = stage(_plausible(leads, sets, percent), "leader-pairs")
     arrays = _arrays(documents, sets.join(_ends(leads), "sig", "left_semi"), k)
     first = _compared(leads, arrays)
     links = _links(first, percent)
@@ -319,7 +349,8 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     mixed = open_lists.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where(
         "low < high"
     ).select("token")
-    pairs = stage(_open_pairs(_lists(open_lists.join(mixed, "token", "left_semi"), "n", "sig"), percent), "open-pairs")
+    pairs = _open_pairs(_lists(open_lists.join(mixed, "token", "left_semi"), "n", "sig"), percent)
+    pairs = stage(_plausible(pairs, sets, percent), "open-pairs")
 
     missing = _ends(pairs).join(arrays.select("sig"), "sig", "left_anti")
     arrays = arrays.unionByName(_arrays(documents, sets.join(missing, "sig", "left_semi"), k))
