@@ -309,6 +309,31 @@ SQL = {
         "channel_status_total": f"""SELECT abs((SELECT sum(order_count) FROM ({BY_STATUS}))
            - (SELECT count(*) FROM repaired))""",
     }),
+    "typed_values": """SELECT order_id,
+       CASE WHEN pos % 8 IN (0, 2, 3, 4) THEN NULL ELSE quantity END AS quantity,
+       CASE pos % 7 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN quantity * 1000.0::DOUBLE
+            WHEN 4 THEN -(quantity + 0.25::DOUBLE) ELSE quantity::DOUBLE END AS total_harga,
+       CASE pos % 5 WHEN 0 THEN NULL WHEN 1 THEN 'none' WHEN 2 THEN NULL ELSE 'Solo' END AS kota, pos
+       FROM dirty""",
+    "dates_guessed": """, shaped AS (
+       SELECT o_orderkey, o_orderkey % 9 AS shape, date_trunc('day', o_orderdate)::TIMESTAMP AS d FROM orders),
+     read AS (SELECT *, CASE WHEN shape < 7 THEN d
+         WHEN shape = 7 THEN d + INTERVAL 7 HOUR + INTERVAL 8 MINUTE + INTERVAL 9123456 MICROSECOND END AS t FROM shaped)
+     SELECT o_orderkey, CASE shape WHEN 0 THEN strftime(d, '%Y/%m/%d') WHEN 1 THEN strftime(d, '%Y%m%d')
+         WHEN 2 THEN strftime(d, '%m-%d-%Y') WHEN 3 THEN strftime(d, '%-d %b %Y') WHEN 4 THEN strftime(d, '%B %-d, %Y')
+         WHEN 5 THEN strftime(d, '%d-%b-%Y') WHEN 6 THEN strftime(d, '%B %-d %Y')
+         WHEN 7 THEN strftime(d, '%Y-%m-%d') || ' 07:08:09.123456789' ELSE strftime(d, '%d/%m/%y') END AS raw,
+       t AS day_first, t AS month_first FROM read""",
+    "text_blank": f"""SELECT order_id, pos,
+       CASE WHEN pos % 6 < 3 THEN NULL WHEN pos % 6 = 3 THEN 'none.' ELSE lower(trim(customer_email)) END AS customer_email,
+       CASE WHEN pos % 4 = 1 THEN 'Sungai-O''Neil Baru' ELSE {title('trim(kota)')} END AS kota FROM dirty""",
+    "enrich_first": """SELECT order_id, o.pos, product_id, harga_satuan
+       FROM dirty o LEFT JOIN products USING (product_id)""",
+    "catalog_repeats": _checks({
+        "catalog_key_unique": "SELECT count(*) FROM products WHERE pos % 3 = 0",
+        "product_known": "SELECT count(*) FROM dirty WHERE product_id IS NULL "
+        "OR product_id NOT IN (SELECT product_id FROM products)",
+    }),
 }
 
 

@@ -3,7 +3,7 @@
 Each accepted shape is a pattern, and where needed the ISO text it is rewritten
 to. A row is tested against the patterns in order and cast once, so no parser
 runs on text it cannot read, and the cast does not depend on the session's
-time zone. Text that fits no shape, or names a day that does not exist, is NULL.
+time zone; digits beyond microseconds are cut. Text that fits no shape, or names a day that does not exist, is NULL.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ MONTHS = [
     "August", "September", "October", "November", "December",
 ]
 
-_TIME = r"\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,6})?)?"
+_TIME = r"\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?"
 _MONTH_NUMBER = r"0?[1-9]|1[0-2]"
 _MONTH_NAME = "|".join(f"{m}|{m[:3]}" for m in MONTHS)
 

@@ -25,6 +25,7 @@ LANDED = "landed_at"
 #: What the summary, which covers all runs, reads of earlier ones.
 SOLD = ["order_id", "kategori", "channel", "order_month", "status", "quantity", "total_harga"]
 _WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+_ZONE = "spark.sql.session.timeZone"
 
 
 def order_stream(
@@ -55,21 +56,20 @@ def land(
 
     An open writer per folder keeps the rows of a split in file order; the
     default would sort by folder first, which may reorder rows when it spills.
+    The setting is made in a session of the stream's own.
     """
-    writers = spark.conf.get(_WRITERS)
-    spark.conf.set(_WRITERS, 8)
-    try:
-        query = (
-            order_stream(spark, source, files_per_batch=files_per_batch)
-            .writeStream.format("parquet")
-            .partitionBy(LANDED)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start(landing)
-        )
-        query.awaitTermination()
-    finally:
-        spark.conf.set(_WRITERS, writers)
+    own = spark.newSession()
+    own.conf.set(_WRITERS, 8)
+    own.conf.set(_ZONE, spark.conf.get(_ZONE))
+    query = (
+        order_stream(own, source, files_per_batch=files_per_batch)
+        .writeStream.format("parquet")
+        .partitionBy(LANDED)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(landing)
+    )
+    query.awaitTermination()
 
 
 def landed_except(spark: SparkSession, landing: str, taken: set[str]) -> DataFrame:

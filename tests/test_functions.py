@@ -84,6 +84,8 @@ EITHER_WAY = [
     ("2024-05-18T10:00:00", day(2024, 5, 18, 10)),
     ("2024-06-13 17:20", day(2024, 6, 13, 17, 20)),
     ("2024-06-13 17:20:00.5", day(2024, 6, 13, 17, 20, 0, 500000)),
+    ("2024-06-13 17:20:00.123456789", day(2024, 6, 13, 17, 20, 0, 123456)),
+    ("2024-06-13T17:20:00.1234567", day(2024, 6, 13, 17, 20, 0, 123456)),
 ] + [
     (v, None)
     for v in (

@@ -270,7 +270,12 @@ def median_inputs():
 def test_median_is_exact(spark, name):
     values = median_inputs()[name]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)] * 3, "x double").repartition(4)
-    assert median.exact_median(df, "x", finish_at=20) == statistics.median(values)
+    assert median.exact_median(df, "x", accuracy=50) == statistics.median(values)
+
+
+def test_median_gathers_no_values():
+    with open(median.__file__) as code:
+        assert "collect_list" not in code.read()
 
 
 def test_median_fill(spark):
