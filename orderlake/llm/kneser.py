@@ -2,7 +2,7 @@
 
 Trigrams are counted over all trusted text. Joins of counts with their contexts
 and their lower orders give the probabilities; a document is rejected when its
-perplexity is beyond a quantile of the trusted documents in its language.
+perplexity is beyond a limit of the trusted documents in its language.
 """
 
 from __future__ import annotations
@@ -25,8 +25,11 @@ QUANTILE = 0.999
 SLACK = 0.02
 #: Characters of average text a document's perplexity is smoothed with.
 PRIOR = 200
-#: Languages with fewer trusted documents use the quantile of all.
-LEAST_TRUSTED = 100
+#: Trusted documents of all languages that a language's own limit is weighed
+#: against; its mean is weighed against ``PRIOR`` characters of all.
+PRIOR_TRUSTED = 100
+#: Without any discount, what a context has not met yet would be impossible.
+LEAST_DISCOUNT = 0.1
 CHUNK = 2_000_000
 
 
@@ -82,7 +85,7 @@ def _order(counts: DataFrame, lower: DataFrame | None, bits: int) -> tuple[DataF
     t1, t2, t3, t4 = (float(v or 0) for v in counts.agg(*exact).first())
     y = t1 / (t1 + 2 * t2) if t1 else 0.0
     off = [
-        min(max(i - (i + 1) * y * more / have, 0.0), i) if have and y else 0.5
+        min(max(i - (i + 1) * y * more / have, LEAST_DISCOUNT), i) if have and y else 0.5
         for i, have, more in ((1, t1, t2), (2, t2, t3), (3, t3, t4))
     ]
     discount = F.when(F.col("n") == 1, off[0]).when(F.col("n") == 2, off[1]).otherwise(off[2])
@@ -158,26 +161,32 @@ def score(documents: DataFrame, model: np.ndarray | None) -> tuple[DataFrame, st
 def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """``language, mean, most`` per language of the documents: the mean of the
     trusted ones and the most smoothed nats per character allowed, from
-    ``doc_id, lang, nats, chars``. The language NULL is one of its own."""
+    ``doc_id, lang, nats, chars``. The language NULL is one of its own.
+
+    One rule at every size: a language's mean is that of its trusted documents
+    and ``PRIOR`` characters of the overall mean; how far its limit lies above
+    is the quantile over its n trusted documents and over those of all
+    languages, weighed n to ``PRIOR_TRUSTED``. Without trusted text a language
+    has no limit."""
     good = scored.join(trusted, F.col("doc_id") == F.col("trusted_id"), "left_semi").where("nats IS NOT NULL")
-    means = good.groupBy("lang").agg((F.sum("nats") / F.sum("chars")).alias("mean"), F.count(F.lit(1)).alias("n"))
     overall = good.agg(F.sum("nats") / F.sum("chars")).first()[0]
-    own = F.when(F.col("n") >= LEAST_TRUSTED, F.col("mean")).otherwise(F.lit(overall))
-    langs = scored.select(F.col("lang").alias("language")).distinct()
-    base = stage(
-        langs.join(means, F.col("language").eqNullSafe(F.col("lang")), "left")
-        .select("language", F.coalesce("n", F.lit(0)).alias("n"), own.cast("double").alias("mean")),
+    all_nats = F.lit(PRIOR) * F.lit(overall)
+    means = stage(
+        good.groupBy(F.col("lang").alias("language")).agg(
+            ((F.sum("nats") + all_nats) / (F.sum("chars") + F.lit(PRIOR))).cast("double").alias("mean"),
+            F.count(F.lit(1)).alias("n"),
+        ),
         "language-means",
     )
-    smooth = good.join(base.select("language", "mean"), F.col("lang").eqNullSafe(F.col("language"))).select(
-        "lang", smoothed(F.col("nats"), F.col("chars"), F.col("mean")).alias("s"), "mean"
+    above = good.join(means, F.col("lang").eqNullSafe(F.col("language"))).select(
+        "language", "mean", "n", (smoothed(F.col("nats"), F.col("chars"), F.col("mean")) - F.col("mean")).alias("above")
     )
-    limits = smooth.groupBy("lang").agg(F.percentile_approx("s", quantile, 10_000).alias("limit"))
-    above = smooth.agg(F.percentile_approx(F.col("s") - F.col("mean"), quantile, 10_000)).first()[0]
-    most = F.when(F.col("n") >= LEAST_TRUSTED, F.col("limit")).otherwise(F.col("mean") + F.lit(above))
+    beyond = F.percentile_approx("above", quantile, 10_000)
+    every = above.agg(beyond).first()[0]
+    own = above.groupBy("language", "mean", "n").agg(beyond.alias("above"))
+    shrunk = (F.col("n") * F.col("above") + F.lit(PRIOR_TRUSTED) * F.lit(every)) / (F.col("n") + F.lit(PRIOR_TRUSTED))
     return stage(
-        base.join(limits, F.col("language").eqNullSafe(F.col("lang")), "left")
-        .select("language", "mean", (most + F.lit(SLACK)).cast("double").alias("most")),
+        own.select("language", "mean", (F.col("mean") + shrunk + F.lit(SLACK)).cast("double").alias("most")),
         "language-limits",
     )
 
@@ -197,9 +206,9 @@ def judge(documents: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -
     """``doc_id, lang, chars, perplexity, smoothed, threshold, kept`` per row.
 
     A document goes when its perplexity, smoothed with ``PRIOR`` characters of
-    its language's average, is beyond the language's quantile over trusted
-    documents. A missing or empty text has no perplexity and stays; so does
-    everything if no text is trusted. Repeated rows are judged alike, other
+    its language's average, is beyond the language's limit (:func:`thresholds`).
+    A missing or empty text has no perplexity and stays; so does every document
+    of a language without trusted text. Repeated rows are judged alike, other
     columns ignored, an empty table gives no rows.
     """
     small, _, _, limits = _fitted(documents, labels, quantile)
