@@ -1,8 +1,9 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of characters.
 
-Trigrams are counted over all trusted text. Joins of counts with their contexts
-and their lower orders give the probabilities; a document is rejected when its
-perplexity is beyond a limit of the trusted documents in its language.
+N-grams of unfolded characters are counted over all trusted text. Joins of the
+documents' n-grams with counts, contexts and lower orders give the probabilities
+(:mod:`orderlake.llm.ngrams`); a document is rejected when its perplexity is
+beyond a limit of the trusted documents in its language.
 """
 
 from __future__ import annotations
@@ -13,12 +14,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from orderlake.llm import ngrams
 from orderlake.llm.characters import chunks, flatten
-from orderlake.llm.common import unused, with_ids
+from orderlake.llm.common import MAX_SENT_IDS, with_ids
+from orderlake.llm.ngrams import LEAST_DISCOUNT
 from orderlake.sources.staging import stage
 
-#: Characters fold into 256 symbols (ASCII as it is, the others by a hash into
-#: the upper half), so a model has at most 2**24 trigrams: 64 MB as a table.
+#: Of :func:`fit` only: characters fold into 256 symbols (ASCII as it is, the
+#: others by a hash into the upper half).
 SYMBOLS = 256
 QUANTILE = 0.999
 #: How far beyond the quantile, in nats per character, a document may be.
@@ -28,8 +31,6 @@ PRIOR = 200
 #: Trusted documents of all languages that a language's own limit is weighed
 #: against; its mean is weighed against ``PRIOR`` characters of all.
 PRIOR_TRUSTED = 100
-#: Without any discount, what a context has not met yet would be impossible.
-LEAST_DISCOUNT = 0.1
 CHUNK = 2_000_000
 
 
@@ -103,7 +104,8 @@ def _order(counts: DataFrame, lower: DataFrame | None, bits: int) -> tuple[DataF
 
 
 def fit(texts: DataFrame) -> np.ndarray | None:
-    """Log probabilities of all trigrams (context by symbol), None without text."""
+    """Log probabilities of all folded trigrams (context by symbol), None without
+    text: a dense table to look at small texts with. No query uses it."""
     three = stage(count_trigrams(texts), "trigrams")
     two = stage(three.groupBy(F.col("gram").bitwiseAND(0xFFFF).alias("gram")).agg(F.count(F.lit(1)).alias("n")), "bigrams")
     one = stage(two.groupBy(F.col("gram").bitwiseAND(0xFF).alias("gram")).agg(F.count(F.lit(1)).alias("n")), "unigrams")
@@ -130,34 +132,6 @@ def fit(texts: DataFrame) -> np.ndarray | None:
     return np.log(third.reshape(-1))
 
 
-def score(documents: DataFrame, model: np.ndarray | None) -> tuple[DataFrame, str, str]:
-    """Every row with the nats of its text and the characters they are over,
-    added under free names; returns frame and names. Nats are NULL without a
-    text or a model."""
-    nats, chars = unused(documents, "nats"), unused(documents, "chars")
-    held = documents.sparkSession.sparkContext.broadcast(model)
-    at = documents.columns.index("text")
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs, table = held.value, symbol_table()
-        for batch in batches:
-            texts = batch.column(at).to_pylist()
-            sums, sizes = np.full(len(texts), np.nan), np.zeros(len(texts), np.int64)
-            there = [i for i, t in enumerate(texts) if t] if logs is not None else []
-            filled = [texts[i] for i in there]
-            for a, b in chunks(filled, CHUNK):
-                codes, starts, lengths = _trigrams(filled[a:b], table)
-                sums[there[a:b]] = -np.add.reduceat(logs[codes], starts, dtype=np.float64)
-                sizes[there[a:b]] = lengths
-            batch = batch.append_column(nats, pa.array(sums, mask=np.isnan(sums)))
-            yield batch.append_column(chars, pa.array(sizes))
-
-    schema = documents.limit(0).select("*", F.lit(0.0).alias(nats), F.lit(0).cast("bigint").alias(chars)).schema
-    for field in schema:
-        field.nullable = True
-    return documents.mapInArrow(read, schema), nats, chars
-
-
 def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """``language, mean, most`` per language of the documents: the mean of the
     trusted ones and the most smoothed nats per character allowed, from
@@ -195,10 +169,10 @@ def smoothed(nats: Column, chars: Column, mean: Column) -> Column:
     return (nats + F.lit(PRIOR) * mean) / (chars + F.lit(PRIOR))
 
 
-def _judged(scored: DataFrame, limits: DataFrame, lang: str, nats: str, chars: str) -> DataFrame:
+def _judged(scored: DataFrame, limits: DataFrame) -> DataFrame:
     held = limits.select(*(F.col(c).alias(f"kn_{c}") for c in limits.columns))
-    joined = scored.join(held, F.col(lang).eqNullSafe(F.col("kn_language")), "left")
-    bad = smoothed(F.col(nats), F.col(chars), F.col("kn_mean")) > F.col("kn_most")
+    joined = scored.join(held, F.col("lang").eqNullSafe(F.col("kn_language")), "left")
+    bad = smoothed(F.col("nats"), F.col("chars"), F.col("kn_mean")) > F.col("kn_most")
     return joined.withColumn("kn_kept", ~F.coalesce(bad, F.lit(False)))
 
 
@@ -211,9 +185,8 @@ def judge(documents: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -
     of a language without trusted text. Repeated rows are judged alike, other
     columns ignored, an empty table gives no rows.
     """
-    small, _, _, limits = _fitted(documents, labels, quantile)
-    judged = _judged(small, limits, "lang", "nats", "chars")
-    return judged.select(
+    small, limits = _fitted(documents, labels, quantile)
+    return _judged(small, limits).select(
         "doc_id", "lang", "chars",
         F.exp(F.col("nats") / F.col("chars")).alias("perplexity"),
         F.exp(smoothed(F.col("nats"), F.col("chars"), F.col("kn_mean"))).alias("smoothed"),
@@ -221,21 +194,51 @@ def judge(documents: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -
     )
 
 
-def _fitted(documents: DataFrame, labels: DataFrame, quantile: float):
+def _tie(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _fitted(documents: DataFrame, labels: DataFrame, quantile: float) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, lang, tie, nats, chars`` of every row, NULL and 0 without a text
+    or any trusted one, and the limits."""
     trusted = stage(trusted_ids(labels), "trusted-ids")
-    own = documents.select("doc_id", "lang", "text")
-    model = fit(with_ids(own, "doc_id", trusted, "trusted_id"))
-    scored, nats, chars = score(own, model)
-    small = stage(scored.select("doc_id", "lang", F.col(nats).alias("nats"), F.col(chars).alias("chars")), "perplexities")
-    return small, model, trusted, thresholds(small, trusted, quantile)
+    own = documents.select("doc_id", "lang", "text", _tie(F.col("text")).alias("tie"))
+    good = with_ids(own, "doc_id", trusted, "trusted_id")
+    small = stage(_scored(own, ngrams.Model(good)), "perplexities")
+    # A model knows its own documents too well to tell what others may have.
+    fold = F.pmod(F.xxhash64("tie"), F.lit(2))
+    halves = [good.where(fold == half) for half in (0, 1)]
+    unseen = [_scored(halves[half], ngrams.Model(halves[1 - half])) for half in (0, 1)]
+    unseen = stage(unseen[0].unionByName(unseen[1]), "unseen-perplexities")
+    if unseen.where("nats IS NOT NULL").isEmpty():
+        unseen = small
+    return small, thresholds(unseen, trusted, quantile)
+
+
+def _scored(own: DataFrame, model: ngrams.Model) -> DataFrame:
+    rows = own.select("doc_id", "lang", "tie")
+    if model.symbols:
+        scored = ngrams.score(own.withColumn("doc_id", F.col("doc_id").cast("bigint")), model)
+        held = scored.select(F.col("doc_id").alias("d"), F.col("tie").alias("t"), "nats", "chars")
+        rows = rows.join(held, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t")), "left")
+    else:
+        rows = rows.withColumns({"nats": F.lit(None).cast("double"), "chars": F.lit(0).cast("bigint")})
+    return rows.select("doc_id", "lang", "tie", "nats", F.coalesce("chars", F.lit(0)).cast("bigint").alias("chars"))
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """The rows :func:`judge` keeps, with their columns. Texts are scored again
-    where they are, which moves none of them."""
-    _, model, _, limits = _fitted(documents, labels, quantile)
-    scored, nats, chars = score(documents, model)
-    return _judged(scored, limits, "lang", nats, chars).where("kn_kept").select(documents.columns)
+    """The rows :func:`judge` keeps, with their columns. The keys of the others
+    are sent to them while they are few; beyond that, both are shuffled."""
+    small, limits = _fitted(documents, labels, quantile)
+    bad = _judged(small, limits).where("NOT kn_kept").select(
+        F.col("doc_id").alias("kn_doc"), F.col("lang").alias("kn_lang"), F.col("tie").alias("kn_tie")
+    )
+    bad = stage(bad.distinct(), "rejected")
+    here = (
+        F.col("doc_id").eqNullSafe(F.col("kn_doc")) & F.col("lang").eqNullSafe(F.col("kn_lang"))
+        & (_tie(F.col("text")) == F.col("kn_tie"))
+    )
+    return documents.join(bad.hint("broadcast" if bad.count() <= MAX_SENT_IDS else "merge"), here, "left_anti")
 
 
 def op9_quality(spark, sf_dir: str) -> DataFrame:
