@@ -1,6 +1,8 @@
 """The registered queries of this package and their SQL."""
 
-from orderlake.llm import ann, chat, cuckoo, jaccard, kneser, language, mixing, packing, suffixes, urls
+from orderlake.llm import (
+    ann, chat, cuckoo, jaccard, kneser, language, licenses, mixing, packing, suffixes, trie, urls,
+)
 
 QUERIES = {
     "op1_ann": ann.op1_ann,
@@ -13,6 +15,8 @@ QUERIES = {
     "op8_jaccard_join": jaccard.op8_jaccard,
     "op9_quality": kneser.op9_quality,
     "op10_chat": chat.op10_chat,
+    "op12_licenses": licenses.op12_licenses,
+    "op13_prefix_trie": trie.op13_prefix_trie,
 }
 
 #: The others are tested against brute force: their methods are not SQL.
@@ -20,4 +24,5 @@ SQL = {
     "op2_cuckoo_dedup": cuckoo.OP2_SQL,
     "op6_url_filter": urls.OP6_SQL,
     "op10_chat": chat.OP10_SQL,
+    "op13_prefix_trie": trie.OP13_SQL,
 }
