@@ -1,7 +1,7 @@
 """The registered queries of this package and their SQL."""
 
 from orderlake.llm import (
-    ann, chat, cuckoo, jaccard, kneser, language, licenses, mixing, packing, suffixes, trie, urls,
+    alignment, ann, chat, cuckoo, jaccard, kneser, language, licenses, mixing, packing, suffixes, trie, urls,
 )
 
 QUERIES = {
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard.op8_jaccard,
     "op9_quality": kneser.op9_quality,
     "op10_chat": chat.op10_chat,
+    "op11_alignment": alignment.op11_alignment,
     "op12_licenses": licenses.op12_licenses,
     "op13_prefix_trie": trie.op13_prefix_trie,
 }

@@ -156,12 +156,8 @@ class Shard:
         tree = Parentheses(bits)
         opens = np.flatnonzero(bits)
         closes = tree.findclose(opens)
-        last = np.arange(n) + (closes - opens + 1) // 2
-
-        def below(values: np.ndarray) -> np.ndarray:
-            total = np.concatenate(([0], np.cumsum(values)))
-            return total[last] - total[:n]
-
+        self.last = np.arange(n) + (closes - opens + 1) // 2
+        below = self.below
         self.spine = np.zeros(n, bool)
         for end in (self.ends[0], self.ends[-1]):
             while end >= 0 and not self.spine[end]:
@@ -181,18 +177,16 @@ class Shard:
             at = order[low:high]
             np.minimum.at(self.least, self.parent[at], self.least[at])
 
+    def below(self, values: np.ndarray) -> np.ndarray:
+        """Sums over each node's subtree, its top included."""
+        total = np.concatenate(([0], np.cumsum(values)))
+        return total[self.last] - total[:-1]
+
     def finish(self) -> None:
         """All paths are here, so spines are like other nodes."""
-        leaf = self.spine & (self.children == 0)
-        spared = np.where(self.spine, (self.n_convs - 1) * self.own, 0)
+        self.n_leaves += self.below(self.spine & (self.children == 0))
+        self.saved += self.below(np.where(self.spine, (self.n_convs - 1) * self.own, 0))
         self.spine[:] = False
-        at = np.flatnonzero(leaf | (spared != 0))
-        for node in at.tolist():
-            up = node
-            while up >= 0:
-                self.n_leaves[up] += leaf[node]
-                self.saved[up] += spared[node]
-                up = self.parent[up]
 
     def _line(self, node: int) -> np.ndarray:
         found = []
