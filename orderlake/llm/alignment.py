@@ -7,10 +7,11 @@ Tokens that end inside a character have no end of their own there: parts of a
 multibyte character (A) and byte-fallback pieces (B) are placed by the bytes
 they decode to.
 
-Neither tokenizer joins tokens across a space behind a printable ASCII character,
-letter or digit, so a text is coded by such units and each unit only once while
-it is held. Units are checked byte by byte, so a text has tokens only if all of
-its bytes come back from both tokenizers.
+Neither tokenizer joins tokens across a space or line end behind a printable ASCII
+character, letter or digit, nor across a comma or full stop behind a Latin letter.
+A text is coded by such units, and each unit only once while it is held. Units are
+checked byte by byte, so a text has tokens only if all of its bytes come back from
+both tokenizers.
 """
 
 from __future__ import annotations
@@ -37,7 +38,11 @@ MAX_HELD_PAIRS = 2_000_000
 MAX_SENT_PAIRS = 1_000_000
 #: A pair of ids is one number: A's id times this, and B's.
 SHIFT = 20
-_UNITS = re.compile(r"(?<=[!-~\w])(?= )")
+_SAFE, _LATIN = r"[!-~\w]", "A-Za-zÀ-ÖØ-öø-ÿ"
+_UNITS = re.compile(rf"(?<={_SAFE})(?=[ \n])|(?<=[{_LATIN}])(?=[,.])")
+#: Units that keep their tokens between line ends, so that many are coded at once.
+_PLAIN = re.compile(rf"[ \n]?{_SAFE}(?:.*{_SAFE})?", re.S)
+UNITS_AT_ONCE = 2000
 _CODED = (
     "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, groups string, "
     "pairs array<bigint>, times array<bigint>"
@@ -58,17 +63,12 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def filled(
-    coarse: np.ndarray, sure: np.ndarray, sizes: np.ndarray, first: np.ndarray, base: np.ndarray
-) -> np.ndarray:
+def filled(coarse: np.ndarray, sure: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Ends of all tokens: the coarse ones where they are sure, behind those by the
-    decoded bytes. ``first`` and ``base`` are each token's first one in its unit and
-    where that begins."""
+    decoded bytes."""
     decoded = np.cumsum(sizes)
     last = np.maximum.accumulate(np.where(sure, np.arange(len(sure)), -1))
-    known = last >= first
-    from_start = base + decoded - (decoded - sizes)[first]
-    return np.where(known, coarse[last] + decoded - decoded[last], from_start)
+    return np.where(last < 0, decoded, coarse[last] + decoded - decoded[last])
 
 
 class Aligner:
@@ -104,43 +104,38 @@ class Aligner:
         self.n_a, self.n_b, self.n_links, self.bad = (array("q") for _ in range(4))
         self.starts, self.pairs = array("q"), array("q")
 
-    def _tokens_a(self, units: list[str], base: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, unit and end of A's tokens; ends count the bytes of all units."""
-        coded = self.a.encode_batch(units, add_special_tokens=False)
-        ids = np.fromiter(chain.from_iterable(c.ids for c in coded), np.int64)
-        spans = np.fromiter(
-            chain.from_iterable(chain.from_iterable(c.offsets for c in coded)), np.int64
-        ).reshape(-1, 2)
-        unit = np.repeat(np.arange(len(units)), [len(c) for c in coded])
-        letters = np.frombuffer("".join(units).encode("utf-32-le"), "<u4")
+    def _tokens_a(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and ends, in bytes, of A's tokens."""
+        coded = self.a.encode(text, add_special_tokens=False)
+        ids = np.array(coded.ids, np.int64)
+        spans = np.fromiter(chain.from_iterable(coded.offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
+        letters = np.frombuffer(text.encode("utf-32-le"), "<u4")
         place = np.concatenate(([0], np.cumsum(1 + (letters > 0x7F) + (letters > 0x7FF) + (letters > 0xFFFF))))
-        before = np.cumsum([0, *map(len, units)])
-        coarse = place[before[unit] + spans[:, 1]]
         # A character that the next token shares has not ended yet.
         sure = np.ones(len(ids), bool)
-        sure[:-1] = (unit[1:] != unit[:-1]) | (spans[1:, 0] >= spans[:-1, 1])
-        first = np.searchsorted(unit, unit)
-        return ids, unit, filled(coarse, sure, self.a_sizes[ids], first, base[unit])
-
-    def _tokens_b(self, units: list[str], base: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The same of B. Spans are bytes of the text, which starts behind the added
-        space; of the byte pieces of a character only the last has a span."""
-        coded = self.b.encode([u[1:] for u in units], return_type="proto")
-        pieces = [[(p.id, p.begin, p.end) for p in c.pieces] for c in coded]
-        flat = np.array(list(chain.from_iterable(pieces)), np.int64).reshape(-1, 3)
+        sure[:-1] = spans[1:, 0] >= spans[:-1, 1]
+        return ids, filled(place[spans[:, 1]], sure, self.a_sizes[ids])
+
+    def _tokens_b(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The same of B, which puts a space before a text: before a line end, which
+        no longer piece holds, that is a token of its own. Of the byte pieces of a
+        character only the last has a span."""
+        [coded] = self.b.encode(["\n" + text], return_type="proto")
+        flat = np.fromiter(
+            chain.from_iterable((p.id, p.begin, p.end) for p in coded.pieces[2:]), np.int64
+        ).reshape(-1, 3)
         ids, begin, end = flat.T
-        unit = np.repeat(np.arange(len(units)), list(map(len, pieces)))
-        sure = ~(self.raw[ids] & (begin == end))
-        first = np.searchsorted(unit, unit)
-        return ids, unit, filled(base[unit] + 1 + end, sure, self.b_sizes[ids], first, base[unit])
+        return ids, filled(end - 1, ~(self.raw[ids] & (begin == end)), self.b_sizes[ids])
 
-    def _faithful(self, raw: list[bytes], tokens: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    def _faithful(self, raw: list[bytes], begin: np.ndarray, tokens: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """Which units come back byte by byte from both."""
-        good = np.ones(len(raw), bool)
-        for (ids, unit), known in zip(tokens, (self.a_bytes, self.b_bytes)):
-            bounds = np.searchsorted(unit, np.arange(len(raw) + 1)).tolist()
+        good, whole = np.ones(len(raw), bool), b"\n".join(raw)
+        for (ids, ends), known in zip(tokens, (self.a_bytes, self.b_bytes)):
             back = list(map(known.__getitem__, ids.tolist()))
-            good &= [b"".join(back[low:high]) == r for low, high, r in zip(bounds, bounds[1:], raw)]
+            if b"".join(back) != whole:
+                first = np.searchsorted(ends, begin, "right").tolist()
+                last = np.searchsorted(ends, begin + list(map(len, raw)), "right").tolist()
+                good &= [b"".join(back[low:high]) == r for low, high, r in zip(first, last, raw)]
         return good
 
     def learn(self, units: set[str]) -> None:
@@ -148,19 +143,24 @@ class Aligner:
         if len(self.held) > MAX_HELD or len(self.pairs) > MAX_HELD_PAIRS:
             self.forget()
         new = [u for u in units if u not in self.held]
-        for low in range(0, len(new), 5000):
-            self._learn(new[low:low + 5000])
+        plain = [u for u in new if _PLAIN.fullmatch(u)]
+        for low in range(0, len(plain), UNITS_AT_ONCE):
+            self._learn(plain[low:low + UNITS_AT_ONCE])
+        for unit in set(new).difference(plain):
+            self._learn([unit])
 
     def _learn(self, units: list[str]) -> None:
-        raw = [u.encode() for u in units]
-        base = np.cumsum([0, *map(len, raw)])
-        a, a_unit, a_end = self._tokens_a(units, base)
-        b, b_unit, b_end = self._tokens_b(units, base)
-        good = self._faithful(raw, [(a, a_unit), (b, b_unit)])
-        of_a, of_b = good[a_unit], good[b_unit]
+        """Code units, parted by line ends, as one text."""
+        raw, text, n = [u.encode() for u in units], "\n".join(units), len(units)
+        size = np.array(list(map(len, raw)))
+        begin = np.cumsum(size + 1) - size - 1
+        (a, a_end), (b, b_end) = self._tokens_a(text), self._tokens_b(text)
+        good = self._faithful(raw, begin, [(a, a_end), (b, b_end)])
+        # Line ends between units, and units that do not come back, have no tokens.
+        a_unit, b_unit = (np.maximum(np.searchsorted(begin, ends, "left") - 1, 0) for ends in (a_end, b_end))
+        of_a, of_b = (good[unit] & (ends <= (begin + size)[unit]) for unit, ends in ((a_unit, a_end), (b_unit, b_end)))
         a, a_unit, a_end, b, b_unit, b_end = a[of_a], a_unit[of_a], a_end[of_a], b[of_b], b_unit[of_b], b_end[of_b]
         cut_a, cut_b = np.flatnonzero(np.isin(a_end, b_end)), np.flatnonzero(np.isin(b_end, a_end))
-        n = len(units)
         groups = np.bincount(a_unit[cut_a], minlength=n)
         texts, a_text, b_text = [], list(map(str, a.tolist())), list(map(str, b.tolist()))
         i = j = 0

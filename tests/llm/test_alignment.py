@@ -1,8 +1,11 @@
 """Token alignment against whole texts coded at once and compared byte by byte."""
 
 import hashlib
+import re
 from collections import Counter
+from functools import lru_cache
 
+import oracle
 import pytest
 
 from orderlake.llm import alignment
@@ -14,14 +17,20 @@ TEXTS = [
 ]
 
 
-def coded_whole(text):
-    """Ids of A and B over the whole text and the groups by decoded bytes."""
+@lru_cache(None)
+def tokenizers_used():
     import sentencepiece
     from tokenizers import Tokenizer
 
     a = Tokenizer.from_file(alignment.tokenizer_path(alignment.TOKENIZER_A))
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_file=alignment.tokenizer_path(alignment.TOKENIZER_B))
+    return a, b
+
+
+def coded_whole(text):
+    """Ids of A and B over the whole text and the groups by decoded bytes."""
+    a, b = tokenizers_used()
     letters = alignment.byte_alphabet()
     ids_a = a.encode(" " + text, add_special_tokens=False).ids
     ids_b = b.encode(text)
@@ -39,8 +48,9 @@ def coded_whole(text):
 
     ends_a, ends_b = ends(bytes_a), ends(bytes_b)
     groups, links, low_a, low_b = [], [], 0, 0
+    at_a, at_b = ({end: k for k, end in enumerate(ends)} for ends in (ends_a, ends_b))
     for cut in sorted(set(ends_a) & set(ends_b)):
-        i, j = ends_a.index(cut), ends_b.index(cut)
+        i, j = at_a[cut], at_b[cut]
         groups.append(f"{','.join(map(str, ids_a[low_a:i + 1]))}|{','.join(map(str, ids_b[low_b:j + 1]))}")
         links.append((ids_a[i], ids_b[j]))
         low_a, low_b = i + 1, j + 1
@@ -96,9 +106,22 @@ def test_units_are_forgotten_and_learned_again(monkeypatch):
 
 
 def test_no_vocabulary_entry_crosses_a_unit():
-    """What lets a text be coded by units: no piece goes on behind an inner space."""
+    """What lets a text be coded by units: no piece goes on behind an inner space, a
+    line end, or a comma or full stop behind a Latin letter."""
+    aligner = alignment.Aligner(*map(alignment.tokenizer_path, (alignment.TOKENIZER_A, alignment.TOKENIZER_B)))
+    assert not [p for p in aligner.b_bytes if b" " in p.lstrip(b" ") or len(p) > 1 and b"\n" in p]
+    inner = re.compile(rf"[{alignment._LATIN}][,.]")
+    assert not [p for p in aligner.b_bytes if inner.search(p.decode(errors="replace"))]
+
+
+def test_real_texts(spark):
+    """Whole documents of the test tables."""
+    rows = spark.read.parquet(f"{oracle.TESTDATA}/sf0.001/documents.parquet").select("text").collect()
+    texts = [r.text for r in rows]
     aligner = alignment.Aligner(*map(alignment.tokenizer_path, (alignment.TOKENIZER_A, alignment.TOKENIZER_B)))
-    assert not [p for p in aligner.b_bytes if b" " in p.lstrip(b" ")]
+    found = aligner.code(texts, True)
+    want = [coded_whole(t) for t in texts]
+    assert list(found[5]) == [";".join(w[2]) for w in want] and list(found[0]) == [w[0] for w in want]
 
 
 def test_empty_table(frame):
