@@ -63,3 +63,7 @@ class GateFailed(OrderlakeError):
     def __init__(self, failed: list[str]):
         super().__init__(f"validation gate failed: {', '.join(failed)}")
         self.failed = failed
+
+
+class PublishConflict(OrderlakeError):
+    """Another publisher has published the run, or taken its batches, meanwhile."""

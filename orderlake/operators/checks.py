@@ -47,6 +47,24 @@ def quality_checks(
     return as_checks(copies(df, "order_id", repeated).agg(*[c.alias(name) for name, c in counts.items()]))
 
 
+def row_checks(df: DataFrame) -> dict[str, Column]:
+    """The gate's checks that look at one row at a time, as counts of what is bad: for
+    an observation while rows are written. NULL counts on no rows."""
+    is_date = dict(df.dtypes)["tanggal_order"].startswith("timestamp")
+    return {
+        "zero_nulls": F.sum(nulls_in_row(content(df))),
+        "zero_negative_price": F.count_if(F.col("total_harga") < 0),
+        "datetime_type": F.max(F.lit(0 if is_date else 1)),
+    }
+
+
+def require_none(counts: dict[str, int], checks: list[str]) -> None:
+    """Raise with the names of the checks that counted something."""
+    failed = [name for name in checks if counts[name]]
+    if failed:
+        raise GateFailed(sorted(failed))
+
+
 def tutorial_checks(df: DataFrame, channels: list[str] | None = None) -> DataFrame:
     """The gate's checks plus at most three channels."""
     return quality_checks(df, MAX_CHANNELS, channels)

@@ -36,20 +36,34 @@ def by_dimension(df: DataFrame, dimensions: list[str], aggregates: list) -> Data
     )
 
 
-def sales_summary(
-    clean: DataFrame, dimensions: tuple[str, ...] = ("kategori", "channel", "order_month")
-) -> DataFrame:
-    """Completed sales per category, per channel and per month, stacked."""
+DIMENSIONS = ("kategori", "channel", "order_month")
+
+
+def sales_parts(clean: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS) -> DataFrame:
+    """Completed sales per category, per channel and per month, stacked; revenue is not
+    rounded yet, so the parts of several runs can be merged."""
     totals = [
         F.count("order_id").alias("total_orders"),
         F.coalesce(F.sum("quantity"), F.lit(0)).alias("total_qty"),
-        whole(F.coalesce(F.sum("total_harga"), F.lit(0.0))).alias("total_revenue"),
+        F.coalesce(F.sum("total_harga"), F.lit(0.0)).alias("revenue"),
     ]
-    return (
-        by_dimension(only_completed(clean), list(dimensions), totals)
-        .where(F.col("segment").isNotNull())
-        .orderBy("dimension", "segment")
-    )
+    return by_dimension(only_completed(clean), list(dimensions), totals).where(F.col("segment").isNotNull())
+
+
+def merged_sales(parts: DataFrame) -> DataFrame:
+    """The summary over all runs whose parts are given."""
+    return parts.groupBy("dimension", "segment").agg(
+        F.sum("total_orders").alias("total_orders"), F.sum("total_qty").alias("total_qty"),
+        whole(F.sum("revenue")).alias("total_revenue"),
+    ).orderBy("dimension", "segment")
+
+
+def sales_summary(clean: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS) -> DataFrame:
+    """Completed sales per category, per channel and per month, stacked."""
+    parts = sales_parts(clean, dimensions)
+    return parts.select(
+        "dimension", "segment", "total_orders", "total_qty", whole(F.col("revenue")).alias("total_revenue")
+    ).orderBy("dimension", "segment")
 
 
 def sales_by_category_city(df: DataFrame) -> DataFrame:

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from orderlake.contracts import POSITION, ContractError
+from orderlake.contracts import COMPLETED, POSITION, ContractError
 from orderlake.functions.dates import parse_date
 from orderlake.functions.text import clean_lower, clean_title, strip
-from orderlake.operators.checks import catalog_checks, clean_price_check, mart_checks, require
+from orderlake.operators.checks import catalog_checks, require_none
 from orderlake.operators.dedupe import keep_first, repeated_keys
 from orderlake.operators.enrich import unique_unit_price
 from orderlake.operators.marts import sales_by_category_city, sales_by_channel_status
 from orderlake.operators.profile import long_form
 from orderlake.operators.rules import needs_repair, repair_price
-from orderlake.sources.sinks import replace_table
-from orderlake.sources.staging import stage, staged_run
+from orderlake.plans.strict import counter_rows
+from orderlake.sources.positions import fixed_width
+from orderlake.sources.sinks import replace_tables
+from orderlake.sources.staging import stage, stage_counted, staged_run
 
 
 def clean_products(products: DataFrame) -> DataFrame:
@@ -28,7 +30,13 @@ def transform(
     orders: DataFrame, products: DataFrame, repeated: DataFrame | None = None
 ) -> DataFrame:
     """One row per order with a repaired price; unreadable dates are NULL."""
+    return marked(orders, products, repeated).drop("_repaired")
+
+
+def marked(orders: DataFrame, products: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """The same with ``_repaired``, whether the price was recomputed."""
     first = keep_first(orders, "order_id", repeated=repeated)
+    first = first.withColumn("_repaired", needs_repair(F.col("total_harga")))
     repaired = repair_price(unique_unit_price(first, products)).drop("harga_satuan")
     return repaired.withColumns({
         "tanggal_order": parse_date(F.col("tanggal_order")),
@@ -36,7 +44,7 @@ def transform(
         "channel": clean_lower(F.col("channel")),
         "status": clean_lower(F.col("status")),
         "customer_email": clean_lower(F.col("customer_email")),
-    }).select(orders.columns)
+    }).select(*orders.columns, "_repaired")
 
 
 def metrics(orders: DataFrame) -> DataFrame:
@@ -67,28 +75,43 @@ def run(orders: DataFrame, products: DataFrame, database: str = "default") -> Da
 
     Everything is staged and checked first: a repeated catalog key, a negative
     price left or a mart that does not add up stops the run with all tables as
-    they were. Products missing from the catalog are only reported.
+    they were. Products missing from the catalog are only reported. Size, counters
+    and checks of the clean rows are collected while they are staged; then all
+    tables change with one commit.
     """
     spark = orders.sparkSession
     with staged_run(spark):
         catalog = stage(clean_products(products), "catalog")
         require_unique(catalog)
-        raw = stage(orders, "raw-orders")
+        staged, size = stage_counted(orders, "raw-orders")
+        raw = fixed_width(staged)
         repeated = stage(repeated_keys(raw, "order_id"), "repeated-orders")
-        tables = {"cleaned_orders": stage(transform(raw, catalog, repeated).drop(POSITION), "repaired-orders")}
-        clean = tables["cleaned_orders"]
+        clean, seen = stage_counted(
+            marked(raw, catalog, repeated).drop(POSITION), "repaired-orders",
+            unparsable_dates=F.count_if(F.col("tanggal_order").isNull()),
+            repaired_prices=F.count_if("_repaired"),
+            negative_prices=F.count_if(F.col("total_harga") < 0),
+            completed_rows=F.count_if(F.col("status") == COMPLETED),
+        )
         by_city = stage(sales_by_category_city(clean), "category-city")
         by_status = stage(sales_by_channel_status(clean), "channel-status")
-        counters = stage(metrics(raw), "repair-metrics")
-        reports = catalog_checks(clean, catalog)
-        gate = clean_price_check(clean).unionByName(mart_checks(clean, by_city, by_status))
-        found = gate.unionByName(reports).collect()
-        checks = spark.createDataFrame(found, gate.schema)
-        require(checks.where("check <> 'product_known'"))
-        tables |= {
-            "sales_by_category_city": by_city, "sales_by_channel_status": by_status,
-            "repair_metrics": counters,
+        counters = {
+            "rows_in": size["rows"], "duplicate_order_id": size["rows"] - seen["rows"],
+            "unparsable_dates": seen["unparsable_dates"], "repaired_prices": seen["repaired_prices"],
+            "clean_rows": seen["rows"],
+        }
+        in_marts = [mart.agg(F.coalesce(F.sum("order_count"), F.lit(0))).first()[0] for mart in (by_city, by_status)]
+        gate = {
+            "no_negative_price": seen["negative_prices"],
+            "category_city_total": abs(seen["completed_rows"] - in_marts[0]),
+            "channel_status_total": abs(seen["rows"] - in_marts[1]),
         }
-        for name, df in tables.items():
-            replace_table(df, f"{database}.{name}")
+        reports = catalog_checks(clean, catalog).collect()
+        found = [(name, n == 0, n) for name, n in gate.items()] + [tuple(r) for r in reports]
+        checks = spark.createDataFrame(found, "check string, passed boolean, n_bad bigint")
+        require_none(gate, list(gate))
+        replace_tables({
+            "cleaned_orders": clean, "sales_by_category_city": by_city,
+            "sales_by_channel_status": by_status, "repair_metrics": counter_rows(spark, counters),
+        }, database)
     return checks

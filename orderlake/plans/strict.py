@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderlake.contracts import POSITION, REASONS, STRICT_COLUMNS
 from orderlake.functions.dates import month_period, parse_date
@@ -13,8 +13,10 @@ from orderlake.operators.enrich import add_unit_price
 from orderlake.operators.marts import sales_summary
 from orderlake.operators.profile import long_form
 from orderlake.operators.rules import only_completed, reject_reason
-from orderlake.sources.sinks import publish
-from orderlake.sources.staging import stage, staged_run
+from orderlake.sources.positions import fixed_width
+from orderlake.sources.quarantine import UNREADABLE, with_unreadable
+from orderlake.sources.sinks import Attempt, attempt
+from orderlake.sources.staging import stage, stage_counted, staged_run
 
 
 def standardize_text(orders: DataFrame) -> DataFrame:
@@ -79,11 +81,11 @@ def summary(classified: DataFrame) -> DataFrame:
     return sales_summary(accepted(classified))
 
 
-def metrics(classified: DataFrame, products: DataFrame) -> DataFrame:
-    """Row counters as ``metric, value``; counted per product before the catalog
-    is joined, so the join sees each product once."""
+def row_counters() -> dict[str, Column]:
+    """Counters over classified rows. The reason and the counter of unparsable dates
+    differ: the latter counts all rows, whatever other rule rejects them."""
     reason = F.col("reject_reason")
-    counters = {
+    return {
         "rows_in": F.count(F.lit(1)),
         "unparsable_dates": F.count_if(F.col("tanggal_order").isNull()),
         **{name: F.count_if(reason == name) for name in REASONS},
@@ -91,8 +93,12 @@ def metrics(classified: DataFrame, products: DataFrame) -> DataFrame:
         "clean_rows": F.count_if(reason.isNull()),
         "completed_rows": F.count_if(reason.isNull() & (F.col("status") == "completed")),
     }
-    # The reason and the counter of unparsable dates differ: the latter counts
-    # all rows, whatever other rule rejects them.
+
+
+def metrics(classified: DataFrame, products: DataFrame) -> DataFrame:
+    """Row counters as ``metric, value``; counted per product before the catalog
+    is joined, so the join sees each product once."""
+    counters = row_counters()
     per_product = classified.groupBy("product_id").agg(
         *[c.alias(name) for name, c in counters.items()]
     )
@@ -104,22 +110,53 @@ def metrics(classified: DataFrame, products: DataFrame) -> DataFrame:
     return long_form(one_row, "metric", "value")
 
 
-def run(orders: DataFrame, products: DataFrame, root: str, run_id: str) -> None:
-    """Classify once, then publish the clean, rejected, summary and metrics
+def write_outputs(
+    now: Attempt, classified: DataFrame, counted: dict, products: DataFrame,
+    unreadable: DataFrame | None = None,
+) -> DataFrame:
+    """Write the clean, rejected and metrics tables; returns the clean one. The
+    counters come from staging the classified rows and from writing the clean ones."""
+    unmatched = F.count_if(F.col("harga_satuan").isNull())
+    written, seen = now.write("clean", clean(classified, products), True, unmatched_products=unmatched)
+    lost = F.count_if(F.col("reject_reason").isin(UNREADABLE))
+    _, bad = now.write("rejected", with_unreadable(rejected(classified), unreadable), unreadable_rows=lost)
+    told = {name: counted[name] for name in row_counters()} | {"unmatched_products": seen["unmatched_products"]}
+    if unreadable is not None:
+        told["unreadable_rows"] = bad["unreadable_rows"]
+    now.write("metrics", counter_rows(now.spark, told))
+    return written
+
+
+def counter_rows(spark: SparkSession, counters: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame(list(counters.items()), "metric string, value bigint").coalesce(1)
+
+
+def size_rows(spark: SparkSession, sizes: dict[str, dict]) -> DataFrame:
+    """Rows and columns of what was read, as the write that staged it saw them."""
+    rows = [(name, size["rows"], size["columns"]) for name, size in sizes.items()]
+    return spark.createDataFrame(rows, "source string, rows bigint, columns bigint").coalesce(1)
+
+
+def run(
+    orders: DataFrame, products: DataFrame, root: str, run_id: str,
+    unreadable: DataFrame | None = None,
+) -> None:
+    """Classify once, then publish the clean, rejected, summary, metrics and size
     tables together.
 
     The raw rows, the repeated keys and the classified rows are staged: the
     first fixes row positions, the second gives the join its real size, and
-    the third is read by four outputs.
+    the third is read by four outputs. ``unreadable`` lines, as a quarantining
+    reader gives them, are rejected with their file and text.
     """
-    with staged_run(orders.sparkSession):
-        raw = stage(orders, "raw-orders")
+    spark = orders.sparkSession
+    with staged_run(spark):
+        staged, size = stage_counted(orders, "raw-orders")
+        raw = fixed_width(staged)
         repeated = stage(repeated_keys(raw, "order_id"), "repeated-orders")
-        classified = stage(classify(raw, repeated), "classified-orders")
-        outputs = {
-            "clean": clean(classified, products),
-            "rejected": rejected(classified),
-            "summary": summary(classified),
-            "metrics": metrics(classified, products),
-        }
-        publish(outputs, root, run_id, monthly=("clean",))
+        classified, counted = stage_counted(classify(raw, repeated), "classified-orders", **row_counters())
+        with attempt(spark, root, run_id) as now:
+            write_outputs(now, classified, counted, products, unreadable)
+            now.write("summary", summary(classified))
+            now.write("size", size_rows(spark, {"orders": size}))
+            now.commit()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderlake.contracts import (
     NULL_TOKENS, ORDER_COLUMNS, ORDER_NUMBERS, POSITION, PRODUCT_COLUMNS,
@@ -49,7 +49,7 @@ def typed(df: DataFrame, numbers: dict[str, str]) -> DataFrame:
     return df.withColumns(cleaned)
 
 
-def _open(read, name: str) -> DataFrame:
+def open_source(read, name: str) -> DataFrame:
     try:
         return read()
     except AnalysisException as error:
@@ -88,8 +88,8 @@ def read_csv(
     reader = spark.read.options(
         header=True, escape='"', enforceSchema=False, multiLine=multi_line
     )
-    schema = _open(lambda: reader.csv(path).schema, path)
-    raw = _open(
+    schema = open_source(lambda: reader.csv(path).schema, path)
+    raw = open_source(
         lambda: reader.schema(schema.add(_MALFORMED, "string")).csv(
             path, columnNameOfCorruptRecord=_MALFORMED
         ),
@@ -117,7 +117,7 @@ def read_parquet(
     spark: SparkSession, path: str, required: list[str] | None = None
 ) -> DataFrame:
     """Parquet with file and row number as position."""
-    raw = _open(lambda: spark.read.parquet(path), path)
+    raw = open_source(lambda: spark.read.parquet(path), path)
     require_columns(raw, required or [], path)
     place = F.struct(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
@@ -132,9 +132,3 @@ def read_orders(spark: SparkSession, path: str, multi_line: bool = False) -> Dat
 def read_products(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     return read_csv(spark, path, PRODUCT_COLUMNS, PRODUCT_NUMBERS, multi_line)
 
-
-def observe_size(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows while they pass through the next action, without a pass of its own."""
-    seen = Observation(name)
-    rows = F.count(F.lit(1)).alias("rows")
-    return df.observe(seen, rows, F.lit(len(df.columns)).alias("columns")), seen

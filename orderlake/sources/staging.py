@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from orderlake.contracts import OrderlakeError
 
@@ -38,6 +38,29 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def observed(df: DataFrame, counters: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """Count while the rows pass through the next action, without a pass of its own.
+
+    Put it above the last shuffle: a map stage that is run again for a lost
+    executor would count twice. ``rows`` and ``columns`` are always counted."""
+    seen = Observation(uuid4().hex)
+    size = [F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).cast("bigint").alias("columns")]
+    return df.observe(seen, *size, *[c.alias(name) for name, c in counters.items()]), seen
+
+
+def stage_counted(df: DataFrame, name: str, **counters: Column) -> tuple[DataFrame, dict]:
+    """``stage``, with the size and the counters seen by the write itself. Columns
+    that begin with ``_`` are there for counters and are not written."""
+    counted, seen = observed(df, counters)
+    staged = stage(counted.select([c for c in df.columns if not c.startswith("_")]), name)
+    return staged, {k: v or 0 for k, v in seen.get.items()}
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @contextmanager
 def staged_run(spark: SparkSession) -> Iterator[None]:
     """Delete what is staged inside when the run ends, whether it was published
@@ -48,7 +71,5 @@ def staged_run(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _OPEN.reset(token)
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
         for path in paths:
-            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(conf).delete(folder, True)
+            delete_folder(spark, path)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from orderlake.contracts import NULL_TOKENS, ContractError
 from orderlake.sources import readers, sinks, staging
@@ -94,9 +95,8 @@ def test_parquet_position(spark, tmp_path):
 
 
 def test_size_is_observed_in_passing(spark, tmp_path):
-    df, seen = readers.observe_size(spark.range(7), "size")
-    df.write.parquet(str(tmp_path / "out"))
-    assert seen.get == {"rows": 7, "columns": 1}
+    df, size = staging.stage_counted(spark.range(7).selectExpr("id", "id > 4 AS _high"), "sized", high=F.count_if("_high"))
+    assert df.columns == ["id"] and df.count() == 7 and size == {"rows": 7, "columns": 2, "high": 2}
 
 
 def test_staging_uses_the_session_folder(spark):
@@ -120,10 +120,80 @@ def test_csv_round_trip(spark, tmp_path):
     assert (back.t, back.d, back.n) == ('a "b", c', 15000000.0, None)
 
 
-def test_table_is_replaced(spark):
-    sinks.replace_table(spark.range(1), "default.replaced")
-    sinks.replace_table(spark.range(3), "default.replaced")
-    assert spark.table("default.replaced").count() == 3
+def test_tables_are_replaced_together(spark, monkeypatch):
+    def both(n):
+        return {"replaced": spark.range(n), "counted": spark.range(1).select(F.lit(n).alias("n"))}
+
+    def read():
+        return spark.table("replaced").count(), spark.table("counted").first().n
+
+    spark.range(9).write.mode("overwrite").saveAsTable("default.replaced")
+    for n in (1, 3, 5):
+        sinks.replace_tables(both(n))
+        assert read() == (n, n)
+    assert len(spark.sql("SHOW PARTITIONS replaced__versions").collect()) == 2
+    begun = spark.table("replaced")
+    sinks.replace_tables(both(6))
+    assert begun.count() in (5, 6) and read() == (6, 6)
+
+    write, done = sinks.append_version, []
+
+    def failing(df, name, version):
+        if done:
+            raise OSError("disk")
+        done.append(write(df, name, version))
+
+    monkeypatch.setattr(sinks, "append_version", failing)
+    with pytest.raises(OSError):
+        sinks.replace_tables(both(7))
+    assert read() == (6, 6)
+    monkeypatch.undo()
+    sinks.replace_tables(both(8))
+    assert read() == (8, 8) and len(spark.sql("SHOW PARTITIONS replaced__versions").collect()) == 2
+
+
+def test_two_publishers_of_one_run(spark, tmp_path):
+    from orderlake.contracts import PublishConflict
+
+    root = str(tmp_path / "lake")
+    sinks.publish({"a": spark.range(1)}, root, "r0")
+    first, second, other = (sinks.Attempt(spark, root, name) for name in ("r1", "r1", "r2"))
+    for n, now in enumerate((first, second, other)):
+        now.write("a", spark.range(n + 2))
+    second.commit()
+    with pytest.raises(PublishConflict, match="r1"):
+        first.commit()
+    other.commit()
+    assert sinks.published_runs(spark, root) == ["r0", "r1", "r2"]
+    assert sinks.published(spark, root, "a", every_run=True).count() == 1 + 3 + 4
+    # A later rerun that has seen the run replaces it.
+    sinks.publish({"a": spark.range(7)}, root, "r1")
+    assert sinks.published(spark, root, "a", every_run=True).count() == 1 + 7 + 4
+    left, right = (sinks.Attempt(spark, root, name) for name in ("r5", "r6"))
+    left.commit(["batch"])
+    with pytest.raises(PublishConflict):
+        right.commit(["batch"])
+
+
+def test_vacuum_removes_replaced_attempts(spark, tmp_path):
+    from datetime import timedelta
+
+    root = str(tmp_path / "lake")
+    for n in range(4):
+        sinks.publish({"a": spark.range(n + 1)}, root, "r1", batches=[f"b{n}"])
+    reader = sinks.published(spark, root, "a")
+    assert sinks.vacuum(spark, root) == [] and reader.count() == 4
+    sinks.publish({"a": spark.range(9)}, root, "r2")
+    now = timedelta(seconds=-60)
+    assert len(sinks.vacuum(spark, root, now)) == 3
+    files = len(list((tmp_path / "lake" / "published").glob("*.json")))
+    assert sinks.vacuum(spark, root, now) == []
+    assert len(list((tmp_path / "lake" / "published").glob("*.json"))) < files
+    assert reader.count() == 4 and sinks.published(spark, root, "a", every_run=True).count() == 13
+    assert sinks.published_runs(spark, root) == ["r1", "r2"]
+    assert sinks.published_batches(spark, root) == {"b0", "b1", "b2", "b3"}
+    sinks.publish({"a": spark.range(2)}, root, "r3")
+    assert sinks.published(spark, root, "a", every_run=True).count() == 15
 
 
 def test_failed_publish_leaves_the_previous_run(spark, tmp_path):
