@@ -334,6 +334,30 @@ SQL = {
         "product_known": "SELECT count(*) FROM dirty WHERE product_id IS NULL "
         "OR product_id NOT IN (SELECT product_id FROM products)",
     }),
+    "quarantine_rows": """SELECT order_id, product_id, product_name, kategori, quantity, total_harga,
+       tanggal_order, kota, channel, status, customer_email, 2 * pos AS _row
+       FROM dirty WHERE pos % 10 <> 7 AND pos % 37 <> 0 AND pos % 41 <> 0""",
+    "quarantine_lines": """, lines AS (
+       SELECT pos % 10 AS f, CASE WHEN pos % 37 = 0 THEN 'surplus_fields' WHEN pos % 41 = 0 THEN 'unclosed_quote' END AS reason,
+         CASE WHEN pos % 37 <> 0 AND pos % 41 = 0 THEN 2 ELSE 1 END AS n FROM dirty)
+     SELECT 'file-' || f AS source_file, CASE WHEN f = 7 THEN 'foreign_header' ELSE reason END AS reject_reason,
+       CAST(sum(n) + any_value(CASE WHEN f = 7 THEN 1 ELSE 0 END) AS BIGINT) AS rows
+       FROM lines WHERE f = 7 OR reason IS NOT NULL GROUP BY 1, 2""",
+    "known_keys": """SELECT DISTINCT order_id FROM dirty WHERE pos % 5 >= 3
+       AND order_id IN (SELECT order_id FROM dirty WHERE pos % 5 < 3)""",
+    "summary_merged": CLEAN + _summary("clean"),
+    "profile_types": """, counts AS (
+       SELECT 'order_id' AS "column", 0::BIGINT AS missing, 0::BIGINT AS whole, 0::BIGINT AS fraction, 0::BIGINT AS date, count(*) AS text FROM dirty
+       UNION ALL SELECT 'quantity', count(*) FILTER (pos % 8 = 0), count(*) FILTER (pos % 8 > 4),
+         count(*) FILTER (pos % 8 IN (1, 2)), 0, count(*) FILTER (pos % 8 IN (3, 4)) FROM dirty
+       UNION ALL SELECT 'total_harga', count(*) FILTER (pos % 7 = 0), count(*) FILTER (pos % 7 > 4),
+         count(*) FILTER (pos % 7 IN (3, 4)), 0, count(*) FILTER (pos % 7 IN (1, 2)) FROM dirty
+       UNION ALL SELECT 'kota', count(*) FILTER (pos % 5 IN (0, 2)), 0, 0, 0, count(*) FILTER (pos % 5 NOT IN (0, 2)) FROM dirty)
+     SELECT *, CASE WHEN text > 0 THEN 'string' WHEN fraction > 0 THEN 'double' ELSE 'bigint' END AS type FROM counts""",
+    "date_shapes": f"""SELECT regexp_replace(regexp_replace(trim(tanggal_order), '\\p{{L}}+', 'a', 'g'), '\\d', '9', 'g') AS shape,
+       count(*) AS rows, count(*) FILTER ({day_first('tanggal_order')} IS NULL) AS unread,
+       count(*) FILTER ({day_first('tanggal_order')} <> {month_first('tanggal_order')}) AS ambiguous,
+       min(tanggal_order) AS example FROM dirty GROUP BY 1""",
 }
 
 

@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from orderlake.contracts import POSITION
 from orderlake.operators.dedupe import content, copies
+from orderlake.functions.dates import parse_date
+from orderlake.functions.text import strip
 from orderlake.operators.marts import by_dimension
+from orderlake.sources.readers import null_tokens, number
 
 
 def weighted(condition: Column, n: str = "n") -> Column:
@@ -99,3 +102,61 @@ def sample_dates(
     digest, cut by a top-n that keeps n rows per task."""
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(position).cast("string")))
     return df.orderBy(digest, position).limit(n).select("tanggal_order")
+
+
+_WHOLE, _FRACTION, _DATE, _TEXT = "whole", "fraction", "date", "text"
+
+
+def _kind(c: Column) -> Column:
+    """What one text value can be read as, NULL for a missing one."""
+    value = null_tokens(c)
+    plain = value.rlike(r"^\s*[+-]?\d{1,18}\s*$")
+    return (
+        F.when(value.isNull(), None)
+        .when(plain, _WHOLE)
+        .when(number(value, "double").isNotNull(), _FRACTION)
+        .when(parse_date(value).isNotNull(), _DATE)
+        .otherwise(_TEXT)
+    )
+
+
+def type_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """How many values of each text column can be read as what: ``column, missing, whole,
+    fraction, date, text``, in one pass. Rows of several runs add up."""
+    columns = columns or [c for c, kind in df.dtypes if kind == "string" and c != POSITION]
+    kinds = df.select(*[_kind(F.col(c)).alias(c) for c in columns])
+    counts = kinds.agg(*[
+        F.struct(
+            F.lit(c).alias("column"), F.count_if(F.col(c).isNull()).alias("missing"),
+            *[F.count_if(F.col(c) == kind).alias(kind) for kind in (_WHOLE, _FRACTION, _DATE, _TEXT)],
+        ).alias(f"c{i}")
+        for i, c in enumerate(columns)
+    ])
+    return counts.select(F.inline(F.array(*[f"c{i}" for i in range(len(columns))])))
+
+
+def inferred_types(counts: DataFrame) -> DataFrame:
+    """The narrowest type that holds all values of a column: whole numbers widen to
+    doubles, dates and numbers meet in text, and a column without values is empty."""
+    total = counts.groupBy("column").agg(*[
+        F.sum(c).alias(c) for c in ("missing", _WHOLE, _FRACTION, _DATE, _TEXT)
+    ])
+    numbers = F.col(_WHOLE) + F.col(_FRACTION)
+    kind = (
+        F.when((F.col(_TEXT) > 0) | ((F.col(_DATE) > 0) & (numbers > 0)), "string")
+        .when(F.col(_DATE) > 0, "timestamp").when(F.col(_FRACTION) > 0, "double")
+        .when(F.col(_WHOLE) > 0, "bigint").otherwise("empty")
+    )
+    return total.withColumn("type", kind)
+
+
+def date_shapes(df: DataFrame, column: str = "tanggal_order") -> DataFrame:
+    """Shapes of raw dates, digits as 9 and words as a: ``shape, rows, unread`` (no date
+    can be read), ``ambiguous`` (day first and month first differ), and an example."""
+    raw = F.col(column)
+    shape = F.regexp_replace(F.regexp_replace(strip(raw), r"\p{L}+", "a"), r"\d", "9")
+    day, month = parse_date(raw), parse_date(raw, month_first=True)
+    return df.where(raw.isNotNull()).groupBy(shape.alias("shape")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(day.isNull()).alias("unread"),
+        F.count_if(day != month).alias("ambiguous"), F.min(raw).alias("example"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlake.contracts import POSITION
+from orderlake.contracts import ORDER_COLUMNS, POSITION
 from orderlake.plans.dirty_orders import dirty_orders, dirty_products
 
 
@@ -55,3 +55,28 @@ def repeated_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         "product_id", "product_name", "kategori", "harga_satuan + 1 AS harga_satuan", "pos + 1000000000000 AS pos"
     )
     return products.unionByName(again)
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as lines of ten CSV files in splits, each with its header: some lines with
+    a field too many, some torn by a line break inside quotes, and one file whose
+    header names the columns in another order."""
+    fields = ", ".join(
+        f"coalesce(concat('\"', replace(CAST({c} AS STRING), '\"', '\"\"'), '\"'), '')" for c in ORDER_COLUMNS
+    )
+    rows = dirty_orders(spark, sf_dir).selectExpr(
+        "concat('file-', pos % 10) AS _file", "pos DIV 5000 * 5000 AS _block", "pos", f"concat_ws(',', {fields}) AS line",
+    )
+    lines = rows.selectExpr(
+        "_file", "_block", """inline(CASE
+            WHEN pos % 37 = 0 THEN array(named_struct('_row', 2 * pos, 'value', concat(line, ',more')))
+            WHEN pos % 41 = 0 THEN array(
+              named_struct('_row', 2 * pos, 'value', concat('"torn ', substr(line, 2, 4))),
+              named_struct('_row', 2 * pos + 1, 'value', 'off'))
+            ELSE array(named_struct('_row', 2 * pos, 'value', line)) END)""",
+    )
+    names, turned = ",".join(ORDER_COLUMNS), ",".join(ORDER_COLUMNS[::-1])
+    headers = spark.range(10).selectExpr(
+        "concat('file-', id) AS _file", "0L AS _block", "-1L AS _row", f"IF(id = 7, '{turned}', '{names}') AS value"
+    )
+    return lines.unionByName(headers)

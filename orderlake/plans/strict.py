@@ -11,7 +11,7 @@ from orderlake.functions.text import clean_email, clean_lower, clean_title, stri
 from orderlake.operators.dedupe import flag_known, flag_repeats, repeated_keys
 from orderlake.operators.enrich import add_unit_price
 from orderlake.operators.marts import sales_summary
-from orderlake.operators.profile import long_form
+from orderlake.operators.profile import date_shapes, long_form
 from orderlake.operators.rules import only_completed, reject_reason
 from orderlake.sources.positions import fixed_width
 from orderlake.sources.quarantine import UNREADABLE, with_unreadable
@@ -141,8 +141,8 @@ def run(
     orders: DataFrame, products: DataFrame, root: str, run_id: str,
     unreadable: DataFrame | None = None,
 ) -> None:
-    """Classify once, then publish the clean, rejected, summary, metrics and size
-    tables together.
+    """Classify once, then publish the clean, rejected, summary, metrics, size and
+    date shape tables together.
 
     The raw rows, the repeated keys and the classified rows are staged: the
     first fixes row positions, the second gives the join its real size, and
@@ -158,5 +158,6 @@ def run(
         with attempt(spark, root, run_id) as now:
             write_outputs(now, classified, counted, products, unreadable)
             now.write("summary", summary(classified))
+            now.write("date_shapes", date_shapes(raw))
             now.write("size", size_rows(spark, {"orders": size}))
             now.commit()

@@ -11,6 +11,7 @@ from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from orderlake.contracts import POSITION, ContractError, PublishConflict
 from orderlake.sources.staging import delete_folder, observed
@@ -19,7 +20,7 @@ MANIFEST = "published"
 _VERSION, _FOLDED = re.compile(r"(\d{20})\.json.*"), ".folded-"
 _ENTRY = (
     "published_at string, run_id string, attempt string, "
-    "outputs map<string, array<string>>, batches array<string>"
+    "outputs map<string, array<string>>, schemas map<string, string>, batches array<string>"
 )
 
 
@@ -137,7 +138,7 @@ class Attempt:
 
     def __init__(self, spark: SparkSession, root: str, run_id: str):
         self.spark, self.root, self.run_id = spark, root, run_id
-        self.name, self.outputs, self.paths = uuid4().hex, {}, []
+        self.name, self.outputs, self.schemas, self.paths = uuid4().hex, {}, {}, []
         self.seen = _newest_version(spark, root)
 
     def write(
@@ -153,15 +154,17 @@ class Attempt:
         counted, seen = observed(df, counters)
         writer = counted.select(columns).write.mode("overwrite")
         (writer.partitionBy(by) if by else writer).parquet(path)
-        self.outputs[name] = columns
+        kind = df.select(columns).schema
+        self.outputs[name], self.schemas[name] = columns, kind.json()
         told = {k: v or 0 for k, v in seen.get.items()} | {"columns": len(columns)}
-        return self.spark.read.parquet(path).select(columns), told
+        # An output without rows in folders has no file to read the columns from.
+        return self.spark.read.schema(kind).parquet(path).select(columns), told
 
     def commit(self, batches: list[str] | None = None) -> None:
         now = datetime.now(timezone.utc).isoformat()
         entry = {
             "published_at": now, "run_id": self.run_id, "attempt": self.name,
-            "outputs": self.outputs, "batches": batches or [],
+            "outputs": self.outputs, "schemas": self.schemas, "batches": batches or [],
         }
         while not _claim(self.spark, self.root, self.seen + 1, json.dumps(entry)):
             newer = _manifest(self.spark, self.root).where(F.col("version") > self.seen)
@@ -267,7 +270,7 @@ def _compact(spark: SparkSession, root: str, limit: float) -> None:
     rows = spark.read.schema(_ENTRY).json([names[n].getPath().toString() for n in old]).orderBy("published_at").collect()
     # Batches of replaced attempts stay taken.
     text = "\n".join(
-        json.dumps(r.asDict() | ({} if r.attempt in keep else {"outputs": {}}))
+        json.dumps(r.asDict() | ({} if r.attempt in keep else {"outputs": {}, "schemas": {}}))
         for r in rows if r.attempt in keep or r.batches
     )
     version = _VERSION.fullmatch(old[-1])
@@ -296,13 +299,14 @@ def _manifest(spark: SparkSession, root: str) -> DataFrame:
     seen = rows.withColumn("version", F.coalesce(version, F.lit(0)))
     # Folded rows of replaced attempts hold no outputs; the first form is as good.
     return seen.groupBy("published_at", "run_id", "attempt").agg(
-        F.max_by("outputs", F.size("outputs")).alias("outputs"), F.max("batches").alias("batches"),
+        F.max_by("outputs", F.size("outputs")).alias("outputs"),
+        F.max_by("schemas", F.size("outputs")).alias("schemas"), F.max("batches").alias("batches"),
         F.max("version").alias("version"),
     )
 
 
 def _newest_entries(spark: SparkSession, root: str) -> DataFrame:
-    entry = F.struct("published_at", "attempt", "outputs")
+    entry = F.struct("published_at", "attempt", "outputs", "schemas")
     newest = _manifest(spark, root).groupBy("run_id").agg(F.max_by(entry, F.struct("published_at", "attempt")).alias("newest"))
     return newest.select("run_id", "newest.*")
 
@@ -346,7 +350,8 @@ def published(
     """The output of the latest complete run, or of all or some of them, each by its
     newest attempt; columns are in the order they were published in."""
     newest = _newest_entries(spark, root).select(
-        "published_at", "run_id", "attempt", F.col("outputs")[name].alias("columns")
+        "published_at", "run_id", "attempt", F.col("outputs")[name].alias("columns"),
+        F.col("schemas")[name].alias("kind"),
     ).where(F.col("columns").isNotNull()).orderBy(F.desc("published_at"))
     if runs is not None:
         newest = newest.where(F.col("run_id").isin(runs))
@@ -354,7 +359,10 @@ def published(
     if not found:
         raise ContractError(f"no published run holds {name}")
     paths = [_attempt_path(root, name, row.run_id, row.attempt) for row in found]
-    return spark.read.option("basePath", f"{root}/{name}").parquet(*paths).select(found[0].columns)
+    reader = spark.read.option("basePath", f"{root}/{name}")
+    if found[0].kind:
+        reader = reader.schema(StructType.fromJson(json.loads(found[0].kind)))
+    return reader.parquet(*paths).select(found[0].columns)
 
 
 def _attempt_path(root: str, name: str, run_id: str, attempt: str) -> str:
