@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from orderlake.llm import ngrams
 from orderlake.llm.characters import chunks, flatten
-from orderlake.llm.common import MAX_SENT_IDS, with_ids
+from orderlake.llm.common import MAX_SENT_IDS, unused, with_ids
 from orderlake.llm.ngrams import LEAST_DISCOUNT
 from orderlake.sources.staging import stage
 
@@ -31,6 +31,8 @@ PRIOR = 200
 #: Trusted documents of all languages that a language's own limit is weighed
 #: against; its mean is weighed against ``PRIOR`` characters of all.
 PRIOR_TRUSTED = 100
+#: One in so many trusted texts is kept from the model, to set the limits.
+HELD_OUT = 4
 CHUNK = 2_000_000
 
 
@@ -204,15 +206,14 @@ def _fitted(documents: DataFrame, labels: DataFrame, quantile: float) -> tuple[D
     trusted = stage(trusted_ids(labels), "trusted-ids")
     own = documents.select("doc_id", "lang", "text", _tie(F.col("text")).alias("tie"))
     good = with_ids(own, "doc_id", trusted, "trusted_id")
-    small = stage(_scored(own, ngrams.Model(good)), "perplexities")
     # A model knows its own documents too well to tell what others may have.
-    fold = F.pmod(F.xxhash64("tie"), F.lit(2))
-    halves = [good.where(fold == half) for half in (0, 1)]
-    unseen = [_scored(halves[half], ngrams.Model(halves[1 - half])) for half in (0, 1)]
-    unseen = stage(unseen[0].unionByName(unseen[1]), "unseen-perplexities")
-    if unseen.where("nats IS NOT NULL").isEmpty():
-        unseen = small
-    return small, thresholds(unseen, trusted, quantile)
+    unseen = F.pmod(F.xxhash64("tie"), F.lit(HELD_OUT)) == 0
+    model = ngrams.Model(good.where(~unseen))
+    small = stage(_scored(own, model if model.symbols else ngrams.Model(good)), "perplexities")
+    held = small.where(unseen)
+    if with_ids(held.where("nats IS NOT NULL"), "doc_id", trusted, "trusted_id").isEmpty():
+        held = small
+    return small, thresholds(held, trusted, quantile)
 
 
 def _scored(own: DataFrame, model: ngrams.Model) -> DataFrame:
@@ -230,13 +231,14 @@ def keep_good(documents: DataFrame, labels: DataFrame, quantile: float = QUANTIL
     """The rows :func:`judge` keeps, with their columns. The keys of the others
     are sent to them while they are few; beyond that, both are shuffled."""
     small, limits = _fitted(documents, labels, quantile)
+    doc, lang, tie = (unused(documents, f"kn_{c}") for c in ("doc", "lang", "tie"))
     bad = _judged(small, limits).where("NOT kn_kept").select(
-        F.col("doc_id").alias("kn_doc"), F.col("lang").alias("kn_lang"), F.col("tie").alias("kn_tie")
+        F.col("doc_id").alias(doc), F.col("lang").alias(lang), F.col("tie").alias(tie)
     )
     bad = stage(bad.distinct(), "rejected")
     here = (
-        F.col("doc_id").eqNullSafe(F.col("kn_doc")) & F.col("lang").eqNullSafe(F.col("kn_lang"))
-        & (_tie(F.col("text")) == F.col("kn_tie"))
+        F.col("doc_id").eqNullSafe(F.col(doc)) & F.col("lang").eqNullSafe(F.col(lang))
+        & (_tie(F.col("text")) == F.col(tie))
     )
     return documents.join(bad.hint("broadcast" if bad.count() <= MAX_SENT_IDS else "merge"), here, "left_anti")
 

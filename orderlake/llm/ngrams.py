@@ -2,14 +2,14 @@
 
 N-grams are strings of code points as they are. Counts, contexts and back-off
 weights stay tables dealt by n-gram; the n-grams of the documents are joined
-with them order by order, and the lists of documents an n-gram occurs in are
-joined with its probability and summed per document. No table is gathered.
+with them order by order. Documents come in runs, and a run asks for each of its
+n-grams once: their probabilities come back to the run, whose texts are then summed
+document by document. No table is gathered.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +21,9 @@ from orderlake.sources.staging import stage
 ORDER = 4
 #: Without any discount, what a context has not met yet would be impossible.
 LEAST_DISCOUNT = 0.1
-CHUNK = 4_000_000
-#: An entry of a list is a document's number in its run, then how often, in so
-#: many bits; what occurs more often has several.
-TIMES_BITS = 11
+#: Characters looked at together, and characters of a run; a longer text is one.
+CHUNK = 500_000
+RUN_CHARS = 30_000_000
 
 
 def grams_of(texts: list[str], order: int) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -65,44 +64,61 @@ def count(texts: DataFrame, order: int = ORDER) -> DataFrame:
     return parts.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def listed(documents: DataFrame, order: int = ORDER) -> DataFrame:
-    """``run, gram, docs`` for each n-gram of a run of documents, and, with
-    ``gram`` NULL, ``docs, ids, ties, sizes`` of the run's documents.
+def in_runs(documents: DataFrame, run_chars: int) -> DataFrame:
+    """Texts with the ``run`` they belong to: a partition of the input, or, of one with
+    more than ``run_chars`` characters, the rows of a hash. The same rows come in the
+    same runs whenever the input is read; a run that differs is found when summed."""
+    part = F.spark_partition_id()
+    texts = documents.where(F.length("text") > 0).select("doc_id", "tie", "text")
+    sizes = texts.groupBy(part.alias("part")).agg(F.sum(F.length("text")).alias("chars"))
+    most = sizes.agg(F.max("chars")).first()[0] or 0
+    pieces = max(1, -(-most // run_chars))
+    piece = F.pmod(F.xxhash64("doc_id", "tie"), F.lit(pieces))
+    return texts.withColumn("run", part.cast("bigint") * pieces + piece)
 
-    From ``doc_id, tie, text``. To be staged, as runs are numbered at random."""
+
+def asked(runs: DataFrame, order: int = ORDER) -> DataFrame:
+    """``run, gram``, the distinct n-grams of each run."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, set[str]] = {}
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for a, b in chunks(texts, CHUNK):
-                grams, number, sizes = grams_of(texts[a:b], order)
-                docs = np.arange(b - a)
-                pairs, times = np.unique(number * (b - a) + np.repeat(docs, sizes), return_counts=True)
-                most = (1 << TIMES_BITS) - 1
-                parts = -(-times // most)
-                pairs, full = np.repeat(pairs, parts), np.full(parts.sum(), most)
-                full[np.cumsum(parts) - 1] = times - (parts - 1) * most
-                cuts = np.searchsorted(pairs, np.arange(len(grams) + 1) * (b - a)).astype(np.int32)
-                run = uuid4().int >> 65
-                entries = (pairs % (b - a) << TIMES_BITS | full).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(entries))
-                none = pa.nulls(len(grams), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(grams), run)), pa.array(grams), lists, none, none, none], names=names
-                )
-                whole = [0, b - a]
-                own = [
-                    pa.ListArray.from_arrays(pa.array(whole, pa.int32()), x) for x in (
-                        pa.array(docs.astype(np.int32)),
-                        pa.concat_arrays([batch.column(0).slice(a, b - a)]),
-                        pa.concat_arrays([batch.column(1).slice(a, b - a)]), pa.array(sizes.astype(np.int64)),
-                    )
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array([run]), pa.nulls(1, pa.string()), *own], names=names)
-
-    names = ["run", "gram", "docs", "ids", "ties", "sizes"]
-    kind = "run bigint, gram string, docs array<int>, ids array<bigint>, ties array<bigint>, sizes array<bigint>"
-    return documents.where(F.length("text") > 0).select("doc_id", "tie", "text").mapInArrow(read, kind)
+            texts, of = batch.column(1).to_pylist(), batch.column(0).to_numpy()
+            for run in np.unique(of).tolist():
+                own = [texts[i] for i in np.flatnonzero(of == run)]
+                for a, b in chunks(own, CHUNK):
+                    found.setdefault(run, set()).update(grams_of(own[a:b], order)[0])
+        for run, grams in found.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(grams), run)), pa.array(list(grams))], names=["run", "gram"]
+            )
+
+    return runs.select("run", "text").mapInArrow(read, "run bigint, gram string")
+
+
+def summed(runs: DataFrame, logs: DataFrame, order: int = ORDER) -> DataFrame:
+    """``doc_id, tie, nats, chars`` from the texts of each run and ``run, gram, log``."""
+
+    def add(texts: pa.Table, known: pa.Table) -> pa.Table:
+        log = dict(zip(known.column("gram").to_pylist(), known.column("log").to_pylist()))
+        rows = texts.column("text").to_pylist()
+        nats, chars = [], []
+        for a, b in chunks(rows, CHUNK):
+            grams, number, sizes = grams_of(rows[a:b], order)
+            try:
+                each = np.array([log[g] for g in grams])[number]
+            except KeyError as error:
+                raise ValueError("a run of documents was read differently the second time") from error
+            nats.append(-np.add.reduceat(each, np.cumsum(sizes) - sizes))
+            chars.append(sizes)
+        return pa.table({
+            "doc_id": texts.column("doc_id"), "tie": texts.column("tie"),
+            "nats": np.concatenate(nats or [np.zeros(0)]), "chars": np.concatenate(chars or [np.zeros(0, np.int64)]),
+        })
+
+    return runs.groupBy("run").cogroup(logs.groupBy("run")).applyInArrow(
+        add, "doc_id bigint, tie bigint, nats double, chars bigint"
+    )
 
 
 def _suffix(order: int) -> Column:
@@ -152,21 +168,13 @@ class Model:
         return stage(mixed.select("gram", (seen + rest * F.col("p_lower")).alias("p")), f"probabilities-{n}")
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
+def score(documents: DataFrame, model: Model, run_chars: int = RUN_CHARS) -> DataFrame:
     """``doc_id, tie, nats, chars`` of ``doc_id, tie, text``, once for equal pairs;
     texts that are missing or empty are left out."""
-    lists = stage(listed(documents, model.order), "listed-grams")
-    logs = model.probabilities(stage(lists.where("gram IS NOT NULL").select("gram").distinct(), f"asked-{model.order}"))
-    logs = logs.select(F.col("gram").alias("asked"), F.ln("p").alias("log"))
-    each = lists.where("gram IS NOT NULL").select("run", "gram", "docs").join(
-        logs, F.col("gram") == F.col("asked")
-    ).select("run", "log", F.explode("docs").alias("entry"))
-    times = F.col("entry").bitwiseAND((1 << TIMES_BITS) - 1)
-    sums = each.groupBy("run", F.shiftright("entry", TIMES_BITS).alias("number")).agg(
-        (-F.sum(F.col("log") * times)).alias("nats")
-    )
-    held = lists.where("gram IS NULL").select(
-        F.col("run").alias("r"), F.inline(F.arrays_zip(F.col("docs").alias("doc"), "ids", "ties", "sizes"))
-    ).toDF("r", "doc", "doc_id", "tie", "chars")
-    scored = held.join(sums, (F.col("r") == F.col("run")) & (F.col("doc") == F.col("number")))
+    runs = in_runs(documents, run_chars)
+    grams = stage(asked(runs, model.order), "run-grams")
+    logs = model.probabilities(stage(grams.select("gram").distinct(), f"asked-{model.order}"))
+    logs = logs.select(F.col("gram").alias("known"), F.ln("p").alias("log"))
+    told = grams.join(logs, F.col("gram") == F.col("known")).select("run", "gram", "log")
+    scored = summed(runs, told, model.order)
     return scored.groupBy("doc_id", "tie").agg(F.min("nats").alias("nats"), F.min("chars").alias("chars"))

@@ -52,7 +52,8 @@ def test_model_equals_plain_python(spark, order):
     frame = spark.createDataFrame(rows, "doc_id bigint, tie bigint, text string")
     p = plain(texts[:30], order)
     model = ngrams.Model(frame.where("doc_id < 30").dropDuplicates(), order)
-    found = {(r.doc_id, r.tie): r for r in ngrams.score(frame, model).collect()}
+    # Runs of some texts each, over several partitions.
+    found = {(r.doc_id, r.tie): r for r in ngrams.score(frame.repartition(3, "tie"), model, 700).collect()}
     assert set(found) == {(d, t) for d, t, x in rows if x}
     for d, t, x in rows:
         if x:
