@@ -11,6 +11,9 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Sums modulo 2**64 differ for different short words, up to chance, but not for long
+#: words of a certain structure; words beyond so many bytes are hashed otherwise.
+LONG_WORD = 64
 #: A run needs about a hundred times as much memory for a moment.
 RUN_BYTES = 500_000
 
@@ -54,6 +57,9 @@ def shingle_sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
         np.cumsum(_VALUES[data] * _powers(_BASE, len(data)), out=sums[1:])
         back = _powers(_INVERSE, len(data))
         words = _mix((sums[ends] - sums[starts]) * back[starts]) if len(starts) else np.zeros(0, np.uint64)
+        for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+            digest = blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8).digest()
+            words[i] = np.frombuffer(digest, np.uint64)[0]
         text_ends = np.cumsum(np.fromiter(map(len, texts[a:b]), np.int64, b - a) + 1)
         first = np.searchsorted(starts, text_ends - 1)
         grams = np.zeros(max(len(words) - k + 1, 0), np.uint64)

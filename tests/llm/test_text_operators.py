@@ -129,6 +129,15 @@ def test_least_squares():
     assert used == {3: 10, 5: 10, 8: 4, 2: 1}
 
 
+def test_long_structured_words_differ(spark):
+    """Two words of a Thue-Morse pattern, whose sums modulo 2**64 agree."""
+    one = [bin(i).count("1") % 2 for i in range(2048)]
+    words = ["".join("ab"[(b + flip) % 2] for b in one) for flip in (0, 1)]
+    apart = [(0, f"{words[0]} x y z"), (1, f"{words[1]} x y z")]
+    found = jaccard.classes(spark.createDataFrame(apart, "doc_id bigint, text string"), 4, 85)
+    assert {r.doc_id: r.component_id for r in found.collect()} == {0: 0, 1: 1}
+
+
 @pytest.mark.parametrize("k, percent", [(4, 85), (5, 80), (2, 50)])
 def test_jaccard_classes(documents, nothing, k, percent):
     held = [(r.doc_id, r.text) for r in documents.collect()]
