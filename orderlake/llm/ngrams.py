@@ -96,27 +96,51 @@ def asked(runs: DataFrame, order: int = ORDER) -> DataFrame:
     return runs.select("run", "text").mapInArrow(read, "run bigint, gram string")
 
 
+def packed(runs: DataFrame) -> DataFrame:
+    """``run, data``: compressed batches of a run's ``doc_id, tie, text``, as texts
+    are moved to their probabilities once."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in batches:
+            of = batch.column(0).to_numpy()
+            for run in np.unique(of).tolist():
+                own = batch.filter(pa.array(of == run)).select(["doc_id", "tie", "text"])
+                for a, b in chunks(own.column(2).to_pylist(), 4 * CHUNK):
+                    out = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(out, own.schema, options=options) as writer:
+                        writer.write_batch(own.slice(a, b - a))
+                    yield pa.RecordBatch.from_pydict({"run": [run], "data": [out.getvalue().to_pybytes()]})
+
+    return runs.select("run", "doc_id", "tie", "text").mapInArrow(pack, "run bigint, data binary")
+
+
 def summed(runs: DataFrame, logs: DataFrame, order: int = ORDER) -> DataFrame:
     """``doc_id, tie, nats, chars`` from the texts of each run and ``run, gram, log``."""
 
     def add(texts: pa.Table, known: pa.Table) -> pa.Table:
         log = dict(zip(known.column("gram").to_pylist(), known.column("log").to_pylist()))
-        rows = texts.column("text").to_pylist()
-        nats, chars = [], []
-        for a, b in chunks(rows, CHUNK):
-            grams, number, sizes = grams_of(rows[a:b], order)
-            try:
-                each = np.array([log[g] for g in grams])[number]
-            except KeyError as error:
-                raise ValueError("a run of documents was read differently the second time") from error
-            nats.append(-np.add.reduceat(each, np.cumsum(sizes) - sizes))
-            chars.append(sizes)
-        return pa.table({
-            "doc_id": texts.column("doc_id"), "tie": texts.column("tie"),
-            "nats": np.concatenate(nats or [np.zeros(0)]), "chars": np.concatenate(chars or [np.zeros(0, np.int64)]),
-        })
-
-    return runs.groupBy("run").cogroup(logs.groupBy("run")).applyInArrow(
+        found = [_nothing]
+        for data in texts.column("data"):
+            held = pa.ipc.open_stream(data.as_buffer()).read_all()
+            rows = held.column("text").to_pylist()
+            nats, chars = [], []
+            for a, b in chunks(rows, CHUNK):
+                grams, number, sizes = grams_of(rows[a:b], order)
+                try:
+                    each = np.array([log[g] for g in grams])[number]
+                except KeyError as error:
+                    raise ValueError("a run of documents was read differently the second time") from error
+                nats.append(-np.add.reduceat(each, np.cumsum(sizes) - sizes))
+                chars.append(sizes)
+            found.append(pa.table([
+                held.column("doc_id"), held.column("tie"), np.concatenate(nats), np.concatenate(chars),
+            ], schema=_nothing.schema))
+        return pa.concat_tables(found)
+
+    _nothing = pa.schema([
+        ("doc_id", pa.int64()), ("tie", pa.int64()), ("nats", pa.float64()), ("chars", pa.int64())
+    ]).empty_table()
+    return packed(runs).groupBy("run").cogroup(logs.groupBy("run")).applyInArrow(
         add, "doc_id bigint, tie bigint, nats double, chars bigint"
     )
 

@@ -48,3 +48,11 @@ def test_limits_move_smoothly_with_trusted_documents(spark):
         limits[n] = {r.language: r.most for r in kneser.thresholds(scored, trusted, 0.999).collect()}["b"]
     steps = [abs(limits[n + 1] - limits[n]) for n in (98, 99, 100)]
     assert max(steps) < 0.01
+
+
+def test_columns_with_the_names_of_joined_ones(spark):
+    docs, labels = table(spark, 20)
+    clash = docs.selectExpr("*", "1 AS kn_doc", "'x' AS kn_lang", "2 AS kn_tie", "3 AS run", "4 AS gram")
+    kept = kneser.keep_good(clash, labels)
+    assert kept.columns == clash.columns
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in kneser.keep_good(docs, labels).collect()}
