@@ -39,8 +39,8 @@ STAGES = [
     ("pack_sequences", pack_sequences),
 ]
 
-#: Perplexity, shingle sets and token ids are not SQL; the tests hold the rows
-#: against a brute-force version.
+#: Perplexity, shingle sets and token ids are not SQL; the tests hold each stage
+#: against its operator, and the operators against plain versions.
 ORACLE_SQL = None
 
 
