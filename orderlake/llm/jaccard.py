@@ -1,11 +1,11 @@
 """N-gram Jaccard join and its components, by relations between sets.
 
 Sets that are equal are one. Rare tokens first, each set is listed under the
-tokens of its prefix; linked sets share one. A first round compares the sets of
-a list with the list's leader only and joins what links. The second round goes
-through the lists again, in blocks that are skipped by size and position, for
-pairs not joined yet; what is known of their leaders joins or rules out most of
-them, and only the others are compared themselves.
+tokens of its prefix; linked sets share one. Two rounds compare each set with one
+leader of its lists only, the likeliest one not joined to it yet, and join what
+links. The last round goes through the lists again, in blocks that are skipped by
+size and position, for pairs not joined yet; what is known of their leaders joins
+or rules out most of them, and only the others are compared themselves.
 """
 
 from __future__ import annotations
@@ -22,12 +22,15 @@ from orderlake.llm.components import components
 from orderlake.llm.shingles import set_digest, shingle_sets
 from orderlake.sources.staging import stage
 
-#: Tokens in more than this share of documents sort last. No more than the
-#: mean set size divided by it can be that frequent, however many documents.
-FREQUENT = 0.0005
-#: A batch reports a token it holds this often; a frequent token is so in some batch.
-BATCH_REPORT = 4
+#: Tokens are counted in so many cells by hash, and sort by their cell's count and
+#: then by hash. Any order of all tokens gives whole results; this one is as fine at
+#: every size, and its table (4 bytes a cell) does not grow with the input.
+CELLS = 1 << 21
+CELL_BLOCK = 1024
+LEADER_ROUNDS = 2
 BLOCK = 64
+#: Pairs a task sums before it sends them on.
+HELD_PAIRS = 200_000
 #: 64-bit words of a set's parity bits: whether a bucket of hashes holds an odd
 #: number of its tokens.
 PARITY_WORDS = 8
@@ -42,56 +45,72 @@ def _parity(grams: np.ndarray) -> np.ndarray:
 
 def _sets(documents: DataFrame, k: int) -> DataFrame:
     """Kind 0: ``doc_id, mark, sig, n`` and parity bits of each row. Kind 1: a
-    token and how many sets of a batch hold it."""
+    block of cells (its number as ``n``) and how many tokens of a task fall in each."""
     rows = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
     )
 
+    names = ["kind", "doc_id", "mark", "sig", "n", *_PARITY, "cells"]
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "doc_id", "mark", "sig", "n", *_PARITY]
+        counts = np.zeros(CELLS, np.int64)
         for batch in batches:
             sets = list(shingle_sets(batch.column(2).to_pylist(), k))
             size = len(sets)
             if not size:
                 continue
             bits = np.stack([_parity(s) for s in sets], axis=1)
+            counts += np.bincount(_cells(np.concatenate(sets)), minlength=CELLS)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.zeros(size, np.int8)), batch.column(0), batch.column(1),
                     pa.array([set_digest(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()), *map(pa.array, bits),
+                    pa.nulls(size, pa.binary()),
                 ], names=names,
             )
-            tokens, n = np.unique(np.concatenate(sets), return_counts=True)
-            often = n >= max(BATCH_REPORT, FREQUENT * size)
-            tokens, n = tokens[often].view(np.int64), n[often]
-            empty = pa.nulls(len(tokens), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(len(tokens), np.int8)), empty, empty, pa.array(tokens), pa.array(n)]
-                + [empty] * PARITY_WORDS, names=names,
-            )
+        blocks = counts.reshape(-1, CELL_BLOCK)
+        held = np.flatnonzero(blocks.any(axis=1))
+        empty = pa.nulls(len(held), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.ones(len(held), np.int8)), empty, empty, empty, pa.array(held)]
+            + [empty] * PARITY_WORDS + [pa.array([blocks[b].tobytes() for b in held], pa.binary())],
+            names=names,
+        )
 
-    kinds = ["kind byte", *(f"{c} bigint" for c in ["doc_id", "mark", "sig", "n", *_PARITY])]
+    kinds = ["kind byte", *(f"{c} bigint" for c in names[1:-1]), "cells binary"]
     return stage(rows.mapInArrow(build, ", ".join(kinds)), "sets")
 
 
-class _Order:
-    """Tokens in the global order: rare ones by hash, then frequent ones by count."""
+def _cells(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
 
-    def __init__(self, tokens: np.ndarray):
-        self.rank = np.argsort(tokens, kind="stable")
-        self.tokens = tokens[self.rank]
 
-    def sort(self, grams: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.tokens, grams)
-        at[at == len(self.tokens)] = 0
-        often = self.tokens[at] == grams if len(self.tokens) else np.zeros(len(grams), bool)
-        frequent = grams[often]
-        return np.concatenate([grams[~often], frequent[np.argsort(self.rank[at[often]], kind="stable")]])
+def _cell_counts(base: DataFrame) -> np.ndarray:
+    """How many tokens of all rows fall in each cell: summed per block of cells by
+    tasks that hold one table each, and gathered as one table of fixed size."""
 
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, cells in zip(batch.column(0).to_pylist(), batch.column(1)):
+                more = np.frombuffer(cells.as_buffer(), np.int64)
+                sums[block] = sums[block] + more if block in sums else more
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int64()), pa.array([c.tobytes() for c in sums.values()], pa.binary())],
+            names=["n", "cells"],
+        )
+
+    parts = base.where("kind = 1").select("n", "cells").repartition("n")
+    counts = np.zeros((CELLS // CELL_BLOCK, CELL_BLOCK), np.int64)
+    found = parts.mapInArrow(add, "n bigint, cells binary").toArrow()
+    for block, cells in zip(found.column("n").to_pylist(), found.column("cells")):
+        counts[block] = np.frombuffer(cells.as_buffer(), np.int64)
+    return np.minimum(counts.ravel(), 2**31 - 1).astype(np.int32)
 
-def _entries(documents: DataFrame, k: int, order, percent: int) -> DataFrame:
+
+def _entries(documents: DataFrame, k: int, counts, percent: int) -> DataFrame:
     """``token, sig, n, pos`` for the prefix of each row's set."""
     rows = documents.select(F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
@@ -101,7 +120,8 @@ def _entries(documents: DataFrame, k: int, order, percent: int) -> DataFrame:
             for grams in shingle_sets(batch.column(0).to_pylist(), k):
                 n = len(grams)
                 prefix = n - -(-percent * n // 100) + 1 if n else 0
-                tokens.append(order.value.sort(grams)[:prefix])
+                rarest = np.argsort(counts.value[_cells(grams)], kind="stable")[:prefix]
+                tokens.append(grams[rarest])
                 sigs.append(set_digest(grams))
                 sizes.append(n)
                 places.append(prefix)
@@ -142,22 +162,28 @@ def _shared(listed: DataFrame) -> DataFrame:
 
 
 def _with_leaders(listed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a list's leader and a set: the first entry leads, then the first
-    one too large to link with the leader before it."""
+    """Pairs of a list's leader and a set not joined to it: the first entry leads,
+    then the first one too large to link with the leader before it."""
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, leader, size = None, 0, 0
+        token, leader, size, whole = None, 0, 0, 0
         for batch in batches:
             pairs = Counter()
-            columns = (batch.column(i).to_pylist() for i in (0, 1, 2))
-            for t, sig, n in zip(*columns):
+            columns = (batch.column(i).to_pylist() for i in range(4))
+            for t, sig, n, comp in zip(*columns):
                 if t != token or percent * n > 100 * size:
-                    token, leader, size = t, sig, n
-                elif sig != leader:
+                    token, leader, size, whole = t, sig, n, comp
+                elif comp != whole:
                     pairs[leader, sig, size, n] += 1
             yield _pair_batch(pairs)
 
-    return _summed(listed.mapInArrow(lead, _PAIRS), percent)
+    return _summed(listed.select("token", "sig", "n", "comp").mapInArrow(lead, _PAIRS), percent)
+
+
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """One leader ``a`` for each set ``b``: that with most in common, then the smallest."""
+    near = F.struct("shared", -F.col("n_a"), -F.col("a"))
+    return pairs.groupBy("b").agg(F.max_by("a", near).alias("a")).select("a", "b")
 
 
 _PAIRS = "a bigint, b bigint, n_a int, n_b int, shared int"
@@ -178,7 +204,7 @@ def _summed(pairs: DataFrame, percent: int) -> DataFrame:
     behind = F.ceil(F.lit(percent) * F.greatest("n_a", "n_b") / 100) - 1
     needed = F.ceil(F.lit(percent) * union / (100 + percent))
     sums = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
-    return sums.where(F.col("shared") + behind >= needed).select("a", "b")
+    return sums.where(F.col("shared") + behind >= needed)
 
 
 def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -192,7 +218,8 @@ def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     apart = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in _PARITY), F.lit(0))
     union = F.col("n_a") + F.col("n_b")
     allowed = union - 2 * F.ceil(F.lit(percent) * union / (100 + percent))
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= allowed).select("a", "b")
+    pairs = pairs.select("a", "b", "shared")
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= allowed).select("a", "b", "n_a", "shared")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -249,7 +276,11 @@ def _open_pairs(listed: DataFrame, percent: int) -> DataFrame:
                 cuts = np.append(cuts, len(token))
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if b - a > 1:
-                    pairs.update(join([c[a:b].astype(np.int64) for c in columns]))
+                    for pair in join([c[a:b].astype(np.int64) for c in columns]):
+                        pairs[pair] += 1
+                        if len(pairs) >= HELD_PAIRS:
+                            yield _pair_batch(pairs)
+                            pairs.clear()
             yield _pair_batch(pairs)
 
     return _summed(listed.select("token", "sig", "n", "pos", "comp").mapInArrow(read, _PAIRS), percent)
@@ -311,6 +342,34 @@ def _links(compared: DataFrame, percent: int) -> DataFrame:
     return compared.where(100 * F.col("common") >= percent * union).select("a", "b")
 
 
+def _with_arrays(documents: DataFrame, sets: DataFrame, pairs: DataFrame, arrays: DataFrame | None, k: int) -> DataFrame:
+    """``arrays`` with the sets of ``pairs`` that are not among them yet."""
+    wanted = _ends(pairs)
+    if arrays is None:
+        return _arrays(documents, sets.join(wanted, "sig", "left_semi"), k)
+    missing = wanted.join(arrays.select("sig"), "sig", "left_anti")
+    return arrays.unionByName(_arrays(documents, sets.join(missing, "sig", "left_semi"), k))
+
+
+def _not_joined(lists: DataFrame, joined: DataFrame) -> DataFrame:
+    """Entries with their component, of the lists that hold more than one."""
+    comp = F.coalesce("component", "sig").alias("comp")
+    marked = stage(
+        lists.join(joined, F.col("sig") == F.col("node"), "left").select("token", "sig", "n", "pos", comp), "marked"
+    )
+    mixed = marked.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    return marked.join(mixed.select("token"), "token", "left_semi")
+
+
+def _labelled(rows: DataFrame, reached: DataFrame) -> DataFrame:
+    smallest = reached.groupBy("comp").agg(F.min("first_doc").alias("component_id"))
+    ids = reached.join(smallest, "comp").select(F.col("sig").alias("own"), "component_id")
+    return rows.join(ids, F.col("sig") == F.col("own"), "left").select(
+        "doc_id", "mark", F.col("n").alias("n_shingles"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+    )
+
+
 def classes(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, mark, n_shingles, component_id`` for each row.
 
@@ -326,40 +385,38 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     spark = documents.sparkSession
     base = _sets(documents, k)
     rows = base.where("kind = 0").select("doc_id", "mark", "sig", "n", *_PARITY)
-    total = rows.count()
-    often = base.where("kind = 1").groupBy("sig").agg(F.sum("n").alias("n")).where(
-        F.col("n") >= max(2 * BATCH_REPORT, FREQUENT * total)
-    ).orderBy("n", "sig").toArrow()
-    order = spark.sparkContext.broadcast(_Order(often.column("sig").to_numpy().view(np.uint64)))
+    counts = spark.sparkContext.broadcast(_cell_counts(base))
     sets = stage(
         rows.where("n > 0").groupBy("sig").agg(
             F.min("doc_id").alias("first_doc"), *[F.max(c).alias(c) for c in ("n", *_PARITY)]
         ), "distinct-sets",
     )
-    shared = stage(_shared(_lists(_entries(documents, k, order, percent))), "shared-entries").distinct()
+    shared = stage(_shared(_lists(_entries(documents, k, counts, percent))), "shared-entries").distinct()
     lists = stage(_shared(_lists(shared, "n", "sig")), "lists")
-    leads = _with_leaders(_lists(lists, "n", "sig"), percent)
-    leads = stage(_plausible(leads, sets, percent), "leader-pairs")
-    arrays = _arrays(documents, sets.join(_ends(leads), "sig", "left_semi"), k)
-    first = _compared(leads, arrays)
-    links = _links(first, percent)
-    joined = stage(components(links), "first-components")
-    comp = F.coalesce("component", "sig").alias("comp")
-    open_lists = lists.join(joined, F.col("sig") == F.col("node"), "left").select("token", "sig", "n", "pos", comp)
-    mixed = open_lists.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where(
-        "low < high"
-    ).select("token")
-    pairs = _open_pairs(_lists(open_lists.join(mixed, "token", "left_semi"), "n", "sig"), percent)
-    pairs = stage(_plausible(pairs, sets, percent), "open-pairs")
-
-    missing = _ends(pairs).join(arrays.select("sig"), "sig", "left_anti")
-    arrays = arrays.unionByName(_arrays(documents, sets.join(missing, "sig", "left_semi"), k))
+    if lists.isEmpty():
+        return _labelled(rows, sets.select("sig", "first_doc", F.col("sig").alias("comp")))
+
+    first, links, arrays = None, None, None
+    open_lists = lists.withColumn("comp", F.col("sig"))
+    for _ in range(LEADER_ROUNDS):
+        leads = _plausible(_with_leaders(_lists(open_lists, "n", "sig"), percent), sets, percent)
+        leads = stage(_likeliest(leads), "leader-pairs")
+        arrays = _with_arrays(documents, sets, leads, arrays, k)
+        compared = _compared(leads, arrays)
+        first = compared if first is None else first.unionByName(compared)
+        links = _links(first, percent)
+        open_lists = stage(_not_joined(lists, components(links)), "open-lists")
+    pairs = stage(
+        _plausible(_open_pairs(_lists(open_lists, "n", "sig"), percent), sets, percent).select("a", "b"),
+        "open-pairs",
+    )
+    arrays = _with_arrays(documents, sets, pairs, arrays, k)
 
     # What a set's leader has in common with it bounds, or decides, its own answers.
     led = F.max_by(F.col("a"), F.col("common"))
     leaders = stage(
         first.join(links, ["a", "b"], "left_semi").groupBy(F.col("b").alias("sig")).agg(
-            led.alias("leader"), F.max("common").alias("kept"), F.first("n_b").alias("size")
+            led.alias("leader"), F.max("common").alias("kept"), F.max("n_b").alias("size")
         ), "leaders",
     )
     sizes = sets.select("sig", "n")
@@ -396,12 +453,7 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     reached = sets.join(final, F.col("sig") == F.col("node"), "left").select(
         "sig", "first_doc", F.coalesce("component", "sig").alias("comp")
     )
-    smallest = reached.groupBy("comp").agg(F.min("first_doc").alias("component_id"))
-    ids = reached.join(smallest, "comp").select(F.col("sig").alias("own"), "component_id")
-    return rows.join(ids, F.col("sig") == F.col("own"), "left").select(
-        "doc_id", "mark", F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-    )
+    return _labelled(rows, reached)
 
 
 def one_of_each(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
