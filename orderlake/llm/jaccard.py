@@ -27,7 +27,6 @@ from orderlake.sources.staging import stage
 #: every size, and its table (4 bytes a cell) does not grow with the input.
 CELLS = 1 << 21
 CELL_BLOCK = 1024
-LEADER_ROUNDS = 2
 BLOCK = 64
 #: Pairs a task sums before it sends them on.
 HELD_PAIRS = 200_000
@@ -232,13 +231,14 @@ def _needed(n, m, percent: int):
 
 
 def _open_pairs(listed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a list that are not in one component yet and may link by size and
-    by the places of the token: no more than the tokens before the nearer place
-    and those from the farther one on can be common. Blocks of a list are
-    skipped as a whole by their largest places and rests."""
+    """Pairs of a list that are not in one component yet and may link by size, by
+    the places of the token (no more than the tokens before the nearer place and
+    those from the farther one on can be common) and by their parity bits. Blocks
+    of a list are skipped as a whole by their largest places and rests."""
 
     def join(run: list[np.ndarray]):
-        sig, n, pos, comp = run
+        sig, n, pos, comp, *words = run
+        bits = np.stack(words, axis=1)
         rest = n - pos
         if (comp == comp[0]).all():
             return
@@ -252,7 +252,11 @@ def _open_pairs(listed: DataFrame, percent: int) -> DataFrame:
                     continue
                 at = np.arange(from_, min(stop, (b + 1) * BLOCK))
                 most = np.minimum(pos[i], pos[at]) + np.minimum(rest[i], rest[at])
-                at = at[(comp[at] != comp[i]) & (most >= _needed(n[i], n[at], percent))]
+                needed = _needed(n[i], n[at], percent)
+                may = (comp[at] != comp[i]) & (most >= needed)
+                at, needed = at[may], needed[may]
+                apart = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                at = at[apart <= n[i] + n[at] - 2 * needed]
                 for other, size in zip(sig[at].tolist(), n[at].tolist()):
                     one, two = (sig[i], n[i]), (other, size)
                     (x, n_x), (y, n_y) = min(one, two), max(one, two)
@@ -268,7 +272,7 @@ def _open_pairs(listed: DataFrame, percent: int) -> DataFrame:
             held = None
             if whole is None or not whole.num_rows:
                 continue
-            token, *columns = (whole.column(i).to_numpy() for i in range(5))
+            token, *columns = (whole.column(i).to_numpy() for i in range(5 + PARITY_WORDS))
             cuts = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
             if batch is not None:
                 held = whole.slice(int(cuts[-1]))
@@ -283,7 +287,7 @@ def _open_pairs(listed: DataFrame, percent: int) -> DataFrame:
                             pairs.clear()
             yield _pair_batch(pairs)
 
-    return _summed(listed.select("token", "sig", "n", "pos", "comp").mapInArrow(read, _PAIRS), percent)
+    return _summed(listed.select("token", "sig", "n", "pos", "comp", *_PARITY).mapInArrow(read, _PAIRS), percent)
 
 
 def _ended(batches):
@@ -351,6 +355,14 @@ def _with_arrays(documents: DataFrame, sets: DataFrame, pairs: DataFrame, arrays
     return arrays.unionByName(_arrays(documents, sets.join(missing, "sig", "left_semi"), k))
 
 
+def _below_leaders(links: DataFrame) -> DataFrame:
+    """``node, component`` of sets that link with their leader: the leader's leader,
+    or the leader. What else is joined stays apart for now."""
+    above = links.select(F.col("b").alias("a"), F.col("a").alias("top"))
+    found = links.join(above, "a", "left")
+    return found.select(F.col("b").alias("node"), F.coalesce("top", "a").alias("component"))
+
+
 def _not_joined(lists: DataFrame, joined: DataFrame) -> DataFrame:
     """Entries with their component, of the lists that hold more than one."""
     comp = F.coalesce("component", "sig").alias("comp")
@@ -398,18 +410,18 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     first, links, arrays = None, None, None
     open_lists = lists.withColumn("comp", F.col("sig"))
-    for _ in range(LEADER_ROUNDS):
+    for last_round in (False, True):
         leads = _plausible(_with_leaders(_lists(open_lists, "n", "sig"), percent), sets, percent)
         leads = stage(_likeliest(leads), "leader-pairs")
         arrays = _with_arrays(documents, sets, leads, arrays, k)
         compared = _compared(leads, arrays)
         first = compared if first is None else first.unionByName(compared)
         links = _links(first, percent)
-        open_lists = stage(_not_joined(lists, components(links)), "open-lists")
-    pairs = stage(
-        _plausible(_open_pairs(_lists(open_lists, "n", "sig"), percent), sets, percent).select("a", "b"),
-        "open-pairs",
-    )
+        joined = components(links) if last_round else _below_leaders(links)
+        open_lists = stage(_not_joined(lists, joined), "open-lists")
+    bits = sets.select(F.col("sig").alias("own"), *_PARITY)
+    signed = open_lists.join(bits, F.col("sig") == F.col("own")).drop("own")
+    pairs = stage(_open_pairs(_lists(signed, "n", "sig"), percent).select("a", "b"), "open-pairs")
     arrays = _with_arrays(documents, sets, pairs, arrays, k)
 
     # What a set's leader has in common with it bounds, or decides, its own answers.
