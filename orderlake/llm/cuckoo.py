@@ -120,7 +120,7 @@ def _apply(bucket: int, stored: pd.DataFrame, changes: pd.DataFrame) -> pd.DataF
                 keep = doc_id
             index.insert(key, (keep, n + delta))
     out = pd.DataFrame({
-        "text_sha256": [k.hex() for k in index.keys],
+        "text_sha256": pd.array([k.hex() for k in index.keys], dtype="object"),
         "keep_id": pd.array([v[0] for v in index.keys.values()], dtype="object"),
         "group_size": np.array([v[1] for v in index.keys.values()], dtype="int64"),
     })

@@ -51,9 +51,9 @@ def plan_mix(rows: DataFrame, weights=None, most: int = MAX_EPOCHS) -> DataFrame
     """Where each source is cut, from staged ``doc_id, source, size, key``.
 
     One row per source: ``no_source, name, source_size, target, epochs, cut,
-    share``. Every document counts ``epochs`` times, once more if its key is
+    rest``. Every document counts ``epochs`` times, once more if its key is
     below ``cut``, and the documents at ``cut`` (one, but for equal rows) give
-    ``share`` of their words.
+    ``rest`` words together, one after the other.
 
     A source's key range is dealt into blocks; sums per block and their prefix
     sums find the block a budget ends in, and only that block is sorted. The
@@ -105,7 +105,7 @@ def plan_mix(rows: DataFrame, weights=None, most: int = MAX_EPOCHS) -> DataFrame
         .where((F.col("end") >= F.col("rest")) & (F.col("end") - F.col("words") < F.col("rest")))
         .select(
             *place, F.col("order").alias("cut"),
-            ((F.col("rest") - F.col("end") + F.col("words")) / F.col("words")).alias("share"),
+            (F.col("rest") - F.col("end") + F.col("words")).alias("rest"),
         )
     )
     # One row per source again: as a local table its size is known to the joins.
@@ -118,14 +118,21 @@ def order_key(key: str = "key"):
     return F.col(key).bitwiseXOR(F.lit(-(2**63)))
 
 
-def _taken(size, key: str):
-    at = order_key(key)
-    more = (
-        F.when(at < F.col("cut"), size)
-        .when(at == F.col("cut"), F.floor(size * F.col("share") + F.lit(1e-9)))
-        .otherwise(0)
+def _given_at_cut(rows: DataFrame, place: list[str], size: str, rest: str, given: str) -> DataFrame:
+    """Rows at their source's cut with the words each gives, as column ``given``:
+    all of it while ``rest`` lasts, so at most one row gives a part. Equal rows may
+    be many, so they are numbered where they lie and only sums per part meet."""
+    order, part, words, before = (unused(rows, c) for c in ("order_", "part_", "words_", "before_"))
+    at = stage(rows.withColumn(order, F.monotonically_increasing_id()), "at-cut").withColumn(
+        part, F.shiftright(order, 33)
     )
-    return F.col("epochs") * size + more
+    sums = at.groupBy(*place, part).agg(F.sum(size).alias(words))
+    earlier = Window.partitionBy(*place).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn(before, F.coalesce(F.sum(words).over(earlier), F.lit(0))).drop(words)
+    inside = Window.partitionBy(*place, part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.col(before) + F.coalesce(F.sum(size).over(inside), F.lit(0))
+    left = F.greatest(F.least(F.col(rest) - ahead, F.col(size)), F.lit(0))
+    return at.join(sums, [*place, part]).withColumn(given, left.cast("bigint"))
 
 
 def mix_sizes(documents: DataFrame, weights=None, seed: int = SEED) -> DataFrame:
@@ -133,16 +140,23 @@ def mix_sizes(documents: DataFrame, weights=None, seed: int = SEED) -> DataFrame
 
     ``taken`` is how many words the mix takes of a document, repeats counted.
     A missing text has no words, a missing source is a source of its own, last
-    in the order; equal rows share a key and are cut alike. Sources without
-    words have target 0. Other columns are ignored; an empty table gives no rows.
+    in the order; of equal rows at a budget's end the first ones give all their
+    words and one gives a part. Sources without words have target 0. Other columns
+    are ignored; an empty table gives no rows.
     """
     rows, size, key = keyed(documents.select("doc_id", "text", "source"), seed)
     rows = stage(rows.select("doc_id", "source", F.col(size).alias("size"), F.col(key).alias("key")), "mix-sizes")
     plan = plan_mix(rows, weights)
     flags = rows.select("doc_id", "source", "size", "key", *_source())
-    return flags.join(plan, ["no_source", "name"]).select(
+    joined = flags.join(plan, ["no_source", "name"]).withColumn("at", order_key())
+    at_cut = F.coalesce(F.col("at") == F.col("cut"), F.lit(False))
+    others = joined.where(~at_cut).withColumn(
+        "given", F.when(F.col("at") < F.col("cut"), F.col("size")).otherwise(0)
+    )
+    last = _given_at_cut(joined.where(at_cut), ["no_source", "name"], "size", "rest", "given")
+    return others.unionByName(last.select(others.columns)).select(
         "doc_id", "source", "size", "source_size", "target",
-        _taken(F.col("size"), "key").cast("bigint").alias("taken"),
+        (F.col("epochs") * F.col("size") + F.col("given")).cast("bigint").alias("taken"),
     )
 
 
@@ -164,12 +178,14 @@ def mix(documents: DataFrame, weights=None, seed: int = SEED) -> DataFrame:
         (rows["source"].isNull() == plan[kept["no_source"]])
         & (F.coalesce(rows["source"], F.lit("")) == plan[kept["name"]]),
     )
-    words = F.col(size)
-    at = order_key(key)
+    words, at = F.col(size), order_key(key)
+    at_cut = F.coalesce(at == F.col(kept["cut"]), F.lit(False))
+    given = unused(joined, "given")
+    others = joined.where(~at_cut).withColumn(given, F.lit(0).cast("bigint"))
+    last = _given_at_cut(joined.where(at_cut), [kept["no_source"], kept["name"]], size, kept["rest"], given)
+    joined = others.unionByName(last.select(others.columns))
     whole = F.col(kept["epochs"]) + F.when(at < F.col(kept["cut"]), 1).otherwise(0)
-    part = F.when(
-        at == F.col(kept["cut"]), F.floor(words * F.col(kept["share"]) + F.lit(1e-9))
-    ).otherwise(0)
+    part = F.col(given)
     pieces = F.split("text", rf"(?<=[^{BLANK}])(?=[{BLANK}])")
     head = F.array_join(F.slice(pieces, F.lit(1), part.cast("int")), "")
     copies = F.when(words == 0, F.array(F.col("text"))).otherwise(F.concat(
