@@ -86,17 +86,14 @@ class SortedProjections:
 
 def usable(embeddings: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """``id, vector`` of rows that can take part: no NULL, no component that is
-    NULL or not finite, not all zero, and as long as most vectors are."""
-    rows = embeddings.select(
+    NULL or not finite, not all zero."""
+    return embeddings.select(
         F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("vector")
     ).where(
         F.col("id").isNotNull() & F.col("vector").isNotNull()
         & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
         & F.exists("vector", lambda x: x != 0)
     )
-    lengths = rows.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("n"))
-    most = lengths.orderBy(F.desc("n"), "size").first()
-    return rows.where(F.size("vector") == F.lit(most["size"] if most else 0))
 
 
 def search(
@@ -104,7 +101,8 @@ def search(
     vector_col: str = "embedding", verified: float = VERIFIED,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` of each query's nearest found by inner
-    product, itself left out; ties go to the smaller id.
+    product, itself left out; ties go to the smaller id. Vectors of different
+    lengths have no product: each length is searched for itself.
 
     ``is_query`` is a condition on the column ``id``. Equal vectors are searched
     and indexed once; of a group, the ``neighbours + 1`` smallest ids can be
@@ -112,7 +110,6 @@ def search(
     answer; a repeated id counts once per different vector. With fewer
     candidates than ``neighbours`` all are returned, with none no row.
     """
-    spark = embeddings.sparkSession
     rows = stage(
         usable(embeddings, id_col, vector_col).withColumn("group", F.xxhash64("vector")), "vectors"
     )
@@ -131,29 +128,33 @@ def search(
         "distinct-vectors",
     )
     size = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    n, asking, longest = distinct.agg(
-        F.count(F.lit(1)), F.count_if("asked"), F.max(size)
-    ).first()
-    shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-asking // BLOCK_ROWS))
-    longest = longest or 1.0
+    # One row per length of vectors, not per vector.
+    lengths = distinct.groupBy(F.size("vector").alias("dim")).agg(
+        F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("shards"),
+        F.ceil(F.count_if("asked") / BLOCK_ROWS).cast("int").alias("blocks"), F.max(size).alias("longest"),
+    ).where("blocks > 0")
+    sized = distinct.withColumn("dim", F.size("vector")).join(lengths, "dim")
 
-    def spread(parts: int):
-        return F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int")
+    def spread(parts: str):
+        return F.pmod(F.xxhash64("row"), F.col(parts)).cast("int")
 
-    def every(parts: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    def every(parts: str):
+        return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
 
-    indexed = distinct.select("vector", "ids", spread(shards).alias("shard"), every(blocks).alias("block"))
-    queries = distinct.where("asked").select(
-        "row", "vector", spread(blocks).alias("block"), every(shards).alias("shard")
+    indexed = sized.select(
+        "dim", "longest", "vector", "ids", spread("shards").alias("shard"), every("blocks").alias("block")
+    )
+    queries = sized.where("asked").select(
+        F.col("dim").alias("asked_dim"), "row", F.col("vector").alias("point"),
+        spread("blocks").alias("asked_block"), every("shards").alias("asked_shard"),
     )
 
     def answers(key, held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = {"row": [], "vec_id": [], "score": []}
         if len(held) and len(asked):
-            index = SortedProjections(np.array(held.vector.tolist()), longest)
+            index = SortedProjections(np.array(held.vector.tolist()), held.longest.iloc[0])
             ids = held.ids.tolist()
-            found = index.search(np.array(asked.vector.tolist()), neighbours + 1, verified=verified)
+            found = index.search(np.array(asked.point.tolist()), neighbours + 1, verified=verified)
             for row, (near, scores) in zip(asked.row.tolist(), found):
                 top = min(neighbours + 1, len(near))
                 bar = np.partition(scores, len(scores) - top)[len(scores) - top] if top else 0
@@ -165,7 +166,8 @@ def search(
                 out["score"] += [-s for s, _ in listed]
         return pd.DataFrame(out).astype({"row": "int64", "vec_id": "int64", "score": "float64"})
 
-    found = indexed.groupBy("shard", "block").cogroup(queries.groupBy("shard", "block")).applyInPandas(
+    asking = queries.groupBy("asked_dim", "asked_shard", "asked_block")
+    found = indexed.groupBy("dim", "shard", "block").cogroup(asking).applyInPandas(
         answers, "row bigint, vec_id bigint, score double"
     )
     nearest = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")

@@ -41,3 +41,14 @@ def test_few_vectors(spark):
     assert sorted(tuple(r)[:3] for r in ann.search(few, F.col("id") == 0).collect()) == [(0, 1, 1), (0, 2, 2)]
     assert ann.search(few.limit(1), F.col("id") == 0).count() == 0
     assert ann.search(few.limit(0), F.col("id") == 0).count() == 0
+
+
+def test_lengths_are_searched_apart(spark):
+    rng = np.random.default_rng(4)
+    vectors = [(i, [float(x) for x in rng.normal(size=8 if i < 60 else 4).astype(np.float32)]) for i in range(100)]
+    found = ann.search(table(spark, vectors), F.col("id") % 20 == 0).collect()
+    for q in range(0, 100, 20):
+        own = sorted((r.rank, r.vec_id) for r in found if r.query_id == q)
+        others = [i for i, v in vectors if len(v) == len(vectors[q][1]) and i != q]
+        scores = {i: float(np.dot(vectors[i][1], vectors[q][1])) for i in others}
+        assert [i for _, i in own] == sorted(others, key=lambda i: (-scores[i], i))[:20]
