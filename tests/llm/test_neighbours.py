@@ -1,6 +1,7 @@
 """Nearest neighbours against brute force."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from orderlake.llm import ann
@@ -52,3 +53,33 @@ def test_lengths_are_searched_apart(spark):
         others = [i for i, v in vectors if len(v) == len(vectors[q][1]) and i != q]
         scores = {i: float(np.dot(vectors[i][1], vectors[q][1])) for i in others}
         assert [i for _, i in own] == sorted(others, key=lambda i: (-scores[i], i))[:20]
+
+
+@pytest.mark.parametrize("rows", [500, 2000, 10000])
+def test_recall_of_whole_query(spark, tmp_path, rows):
+    """The registered query on vectors without any structure, the hardest case."""
+    data = np.random.default_rng(rows).normal(size=(rows, 64))
+    data = (data / np.linalg.norm(data, axis=1, keepdims=True)).astype(np.float32)
+    table(spark, [(i, v.tolist()) for i, v in enumerate(data)]).write.parquet(f"{tmp_path}/embeddings.parquet")
+    near = {}
+    for r in ann.op1_ann(spark, str(tmp_path)).collect():
+        near.setdefault(r.query_id, set()).add(r.vec_id)
+    assert len(near) == -(-rows // 20) and all(len(n) == 20 for n in near.values())
+    scores = data[::20].astype(np.float64) @ data.T.astype(np.float64)
+    scores[np.arange(len(scores)), np.arange(0, rows, 20)] = -9
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :20]
+    hits = sum(len(near[20 * q] & set(b)) for q, b in enumerate(best.tolist()))
+    assert hits / (20 * len(near)) >= 0.9
+
+
+def test_collisions_are_those_of_the_windows():
+    rng = np.random.default_rng(3)
+    index = ann.SortedProjections(rng.normal(size=(300, 8)), 9.0)
+    values = rng.normal(size=(5, 64)) * 3
+    widths = np.array([0.0, 0.5, 1.0, 3.0, 100.0])
+    lows, sizes = index.windows(values, widths)
+    rest = np.sqrt(np.maximum(81 - (index.vectors**2).sum(axis=1), 0))
+    projected = np.column_stack([index.vectors, rest]) @ index.lines
+    for q in range(5):
+        plain = (np.abs(projected - values[q]) <= widths[q]).sum(axis=1)
+        assert (index.collisions(lows[q], sizes[q]) == plain).all()
