@@ -358,6 +358,13 @@ SQL = {
        count(*) AS rows, count(*) FILTER ({day_first('tanggal_order')} IS NULL) AS unread,
        count(*) FILTER ({day_first('tanggal_order')} <> {month_first('tanggal_order')}) AS ambiguous,
        min(tanggal_order) AS example FROM dirty GROUP BY 1""",
+    "distinct_merged": " " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS rows, count({c}) AS present, count(DISTINCT {c}) AS exact,
+        true AS near, true AS same_as_whole FROM dirty"""
+        for c in ("order_id", "product_id", "kota", "status")
+    ),
+    "range_read": CLEAN + """SELECT order_id, tanggal_order FROM clean
+       WHERE tanggal_order >= TIMESTAMP '1995-11-08' AND tanggal_order < TIMESTAMP '1996-02-20'""",
 }
 
 

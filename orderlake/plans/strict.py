@@ -13,6 +13,7 @@ from orderlake.operators.enrich import add_unit_price
 from orderlake.operators.marts import sales_summary
 from orderlake.operators.profile import date_shapes, long_form
 from orderlake.operators.rules import only_completed, reject_reason
+from orderlake.sources.layout import write_by_time
 from orderlake.sources.positions import fixed_width
 from orderlake.sources.quarantine import UNREADABLE, with_unreadable
 from orderlake.sources.sinks import Attempt, attempt
@@ -139,10 +140,11 @@ def size_rows(spark: SparkSession, sizes: dict[str, dict]) -> DataFrame:
 
 def run(
     orders: DataFrame, products: DataFrame, root: str, run_id: str,
-    unreadable: DataFrame | None = None,
+    unreadable: DataFrame | None = None, by_time: bool = False,
 ) -> None:
     """Classify once, then publish the clean, rejected, summary, metrics, size and
-    date shape tables together.
+    date shape tables together, and ``by_time`` the clean rows along the time ranges
+    kept between runs (``layout.read_between``).
 
     The raw rows, the repeated keys and the classified rows are staged: the
     first fixes row positions, the second gives the join its real size, and
@@ -156,7 +158,9 @@ def run(
         repeated = stage(repeated_keys(raw, "order_id"), "repeated-orders")
         classified, counted = stage_counted(classify(raw, repeated), "classified-orders", **row_counters())
         with attempt(spark, root, run_id) as now:
-            write_outputs(now, classified, counted, products, unreadable)
+            written = write_outputs(now, classified, counted, products, unreadable)
+            if by_time:
+                write_by_time(now, "clean_by_time", written)
             now.write("summary", summary(classified))
             now.write("date_shapes", date_shapes(raw))
             now.write("size", size_rows(spark, {"orders": size}))

@@ -17,6 +17,7 @@ from orderlake.contracts import DUPLICATE, ORDER_COLUMNS, ORDER_NUMBERS, POSITIO
 from orderlake.operators import known
 from orderlake.operators.dedupe import repeated_keys
 from orderlake.operators.marts import merged_sales, sales_parts
+from orderlake.operators.sketches import distinct_parts, merged_distinct
 from orderlake.plans import strict
 from orderlake.sources.positions import fixed_width
 from orderlake.sources.quarantine import UNREADABLE, parse_lines, sort_out
@@ -127,6 +128,13 @@ def summary_parts(spark: SparkSession, root: str) -> DataFrame | None:
     return reduce(DataFrame.unionByName, found)
 
 
+def distinct_of_runs(spark: SparkSession, root: str) -> DataFrame | None:
+    """Sketches of the columns of all published runs that hold them."""
+    if not set(published_runs(spark, root)) - set(runs_without(spark, root, "distinct_parts")):
+        return None
+    return published(spark, root, "distinct_parts", every_run=True)
+
+
 def clean_new(spark: SparkSession, landing: str, products: DataFrame, root: str) -> str | None:
     """Publish one run over all landed micro-batches without one; its name is
     that of the last of them, or None if nothing was new.
@@ -167,6 +175,9 @@ def clean_new(spark: SparkSession, landing: str, products: DataFrame, root: str)
         parts, _ = now.write("summary_parts", sales_parts(strict.accepted(classified)))
         earlier = summary_parts(spark, root)
         now.write("summary", merged_sales(parts if earlier is None else parts.unionByName(earlier)))
+        sketched, _ = now.write("distinct_parts", distinct_parts(raw, ORDER_COLUMNS))
+        before = distinct_of_runs(spark, root)
+        now.write("distinct", merged_distinct(sketched if before is None else sketched.unionByName(before)))
         now.write("size", strict.size_rows(spark, {"orders": size}))
         # Keys of runs before the store came are not written again.
         now.write("keys", new.repartition(KEY_FILES, known.PART).sortWithinPartitions(known.PART, "order_id"), by=known.PART)

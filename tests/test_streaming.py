@@ -38,6 +38,10 @@ def test_runs_over_arriving_files_equal_one_run_over_all(spark, tmp_path):
     assert clean.exceptAll(expected).isEmpty() and expected.exceptAll(clean).isEmpty()
     assert clean.select(F.count_distinct("order_id")).first()[0] == clean.count()
     assert clean.columns == STRICT_COLUMNS
+
+    distinct = {r.column: r for r in sinks.published(spark, root, "distinct").collect()}
+    assert distinct["order_id"].distinct_values == len({line.split(",")[0] for line in LINES})
+    assert distinct["order_id"].rows == len(LINES)
     summary, wanted = sinks.published(spark, root, "summary"), strict.summary(whole)
     assert summary.exceptAll(wanted).isEmpty() and wanted.exceptAll(summary).isEmpty()
 
