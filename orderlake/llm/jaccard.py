@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from orderlake.llm.common import unused, with_ids
 from orderlake.llm.components import components
@@ -34,6 +34,9 @@ HELD_PAIRS = 200_000
 #: number of its tokens.
 PARITY_WORDS = 8
 _PARITY = [f"p{i}" for i in range(PARITY_WORDS)]
+#: Tokens before its own that an entry of the last round knows.
+EARLIER = 4
+_EARLIER = [f"before{i}" for i in range(1, EARLIER + 1)]
 
 
 def _parity(grams: np.ndarray) -> np.ndarray:
@@ -234,11 +237,12 @@ def _open_pairs(listed: DataFrame, percent: int) -> DataFrame:
     """Pairs of a list that are not in one component yet and may link by size, by
     the places of the token (no more than the tokens before the nearer place and
     those from the farther one on can be common) and by their parity bits. Blocks
-    of a list are skipped as a whole by their largest places and rests."""
+    of a list are skipped as a whole by their largest places and rests. A pair met
+    in an earlier list, as the tokens before show, is not given again."""
 
     def join(run: list[np.ndarray]):
-        sig, n, pos, comp, *words = run
-        bits = np.stack(words, axis=1)
+        sig, n, pos, comp, *more = run
+        bits, before = np.stack(more[:PARITY_WORDS], axis=1), np.stack(more[PARITY_WORDS:], axis=1)
         rest = n - pos
         if (comp == comp[0]).all():
             return
@@ -257,6 +261,7 @@ def _open_pairs(listed: DataFrame, percent: int) -> DataFrame:
                 at, needed = at[may], needed[may]
                 apart = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
                 at = at[apart <= n[i] + n[at] - 2 * needed]
+                at = at[~(before[at][:, :, None] == before[i]).any(axis=(1, 2))]
                 for other, size in zip(sig[at].tolist(), n[at].tolist()):
                     one, two = (sig[i], n[i]), (other, size)
                     (x, n_x), (y, n_y) = min(one, two), max(one, two)
@@ -272,7 +277,7 @@ def _open_pairs(listed: DataFrame, percent: int) -> DataFrame:
             held = None
             if whole is None or not whole.num_rows:
                 continue
-            token, *columns = (whole.column(i).to_numpy() for i in range(5 + PARITY_WORDS))
+            token, *columns = (whole.column(i).to_numpy() for i in range(whole.num_columns))
             cuts = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
             if batch is not None:
                 held = whole.slice(int(cuts[-1]))
@@ -287,7 +292,17 @@ def _open_pairs(listed: DataFrame, percent: int) -> DataFrame:
                             pairs.clear()
             yield _pair_batch(pairs)
 
-    return _summed(listed.select("token", "sig", "n", "pos", "comp", *_PARITY).mapInArrow(read, _PAIRS), percent)
+    columns = ["token", "sig", "n", "pos", "comp", *_PARITY, *_EARLIER]
+    return listed.select(columns).mapInArrow(read, _PAIRS).select("a", "b").distinct()
+
+
+def _with_earlier(listed: DataFrame) -> DataFrame:
+    """Entries with the tokens before theirs in the same set, of those listed. An entry
+    without one has its set's digest there, which no other set shares."""
+    own = Window.partitionBy("sig").orderBy("pos")
+    return listed.withColumns(
+        {c: F.coalesce(F.lag("token", i).over(own), "sig") for i, c in enumerate(_EARLIER, 1)}
+    )
 
 
 def _ended(batches):
@@ -420,8 +435,8 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         joined = components(links) if last_round else _below_leaders(links)
         open_lists = stage(_not_joined(lists, joined), "open-lists")
     bits = sets.select(F.col("sig").alias("own"), *_PARITY)
-    signed = open_lists.join(bits, F.col("sig") == F.col("own")).drop("own")
-    pairs = stage(_open_pairs(_lists(signed, "n", "sig"), percent).select("a", "b"), "open-pairs")
+    signed = _with_earlier(open_lists).join(bits, F.col("sig") == F.col("own")).drop("own")
+    pairs = stage(_open_pairs(_lists(signed, "n", "sig"), percent), "open-pairs")
     arrays = _with_arrays(documents, sets, pairs, arrays, k)
 
     # What a set's leader has in common with it bounds, or decides, its own answers.
