@@ -259,7 +259,8 @@ def _open_pairs(listed: DataFrame, percent: int) -> DataFrame:
                 needed = _needed(n[i], n[at], percent)
                 may = (comp[at] != comp[i]) & (most >= needed)
                 at, needed = at[may], needed[may]
-                apart = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                # Of signed numbers, the bits of the absolute value would be counted.
+                apart = np.bitwise_count((bits[at] ^ bits[i]).view(np.uint64)).sum(axis=1, dtype=np.int64)
                 at = at[apart <= n[i] + n[at] - 2 * needed]
                 at = at[~(before[at][:, :, None] == before[i]).any(axis=(1, 2))]
                 for other, size in zip(sig[at].tolist(), n[at].tolist()):
