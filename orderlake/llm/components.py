@@ -14,14 +14,7 @@ def components(edges: DataFrame) -> DataFrame:
     the smallest; rounds are written, so a lost executor costs no history.
     """
     edges = stage(_ordered(edges.select("a", "b")), "edges")
-    seen = None
-    while True:
-        now = edges.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-        if now == seen:
-            break
-        seen = now
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
         large = both.where("b > a").join(least, "a").select("b", F.col("m").alias("a"))
@@ -36,5 +29,14 @@ def components(edges: DataFrame) -> DataFrame:
     return found.unionByName(roots).groupBy("node").agg(F.min("component").alias("component"))
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node hangs below one other, and none of those hangs itself."""
+    above, below = (edges.select(F.col(c).alias("node"), F.lit(i).alias("below")) for i, c in enumerate("ab"))
+    sides = above.unionByName(below).groupBy("node").agg(
+        F.min("below").alias("least"), F.sum("below").alias("times")
+    )
+    return sides.where("times > 1 OR (times = 1 AND least = 0)").isEmpty()
+
+
 def _ordered(edges: DataFrame) -> DataFrame:
     return edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

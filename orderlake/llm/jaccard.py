@@ -3,9 +3,12 @@
 Sets that are equal are one. Rare tokens first, each set is listed under the
 tokens of its prefix; linked sets share one. Two rounds compare each set with one
 leader of its lists only, the likeliest one not joined to it yet, and join what
-links. The last round goes through the lists again, in blocks that are skipped by
-size and position, for pairs not joined yet; what is known of their leaders joins
-or rules out most of them, and only the others are compared themselves.
+links. A list is led by the set with the fewest rarer tokens: of a family of near
+copies, that with the fewest edits of its own, to which most others link. The last
+round goes through the lists again, in blocks that are skipped by size and
+position, for pairs not joined yet that share enough of their prefixes; what is
+known of their leaders joins or rules out most of them, and only the others are
+compared themselves.
 """
 
 from __future__ import annotations
@@ -163,28 +166,56 @@ def _shared(listed: DataFrame) -> DataFrame:
     return listed.mapInArrow(pick, listed.schema)
 
 
-def _with_leaders(listed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a list's leader and a set not joined to it: the first entry leads,
-    then the first one too large to link with the leader before it."""
+def _distinct_shared(listed: DataFrame) -> DataFrame:
+    """:func:`_shared` of entries sorted by ``token, n, sig``, equal ones counted once."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            token, sig = (batch.column(i).to_numpy() for i in range(2))
+            same = (token[1:] == token[:-1]) & (sig[1:] == sig[:-1])
+            yield batch.filter(pa.array(np.insert(~same, 0, (token[0], sig[0]) != last)))
+            last = token[-1], sig[-1]
+
+    return _shared(listed.mapInArrow(pick, listed.schema))
+
+
+def _with_leaders(listed: DataFrame, percent: int, depth: int) -> DataFrame:
+    """Pairs of a list's leader and a set not joined to it. Lists are sorted by
+    ``pos``: the first entry leads, as nothing of its set is rarer than what the
+    others share with it, then the first one of a size that cannot link with any
+    leader yet. A leader is followed by up to ``depth - 1`` ones of its size that
+    are in other components, and the last of them leads what comes after."""
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, leader, size, whole = None, 0, 0, 0
+        token, leaders = None, []
         for batch in batches:
             pairs = Counter()
             columns = (batch.column(i).to_pylist() for i in range(4))
             for t, sig, n, comp in zip(*columns):
-                if t != token or percent * n > 100 * size:
-                    token, leader, size, whole = t, sig, n, comp
-                elif comp != whole:
-                    pairs[leader, sig, size, n] += 1
+                if t != token:
+                    token, leaders = t, []
+                for size, chain in leaders:
+                    if percent * n <= 100 * size and percent * size <= 100 * n:
+                        leader, m, whole = chain[-1]
+                        if comp != whole:
+                            pairs[leader, sig, m, n] += 1
+                            if len(chain) < depth and all(comp != c for _, _, c in chain):
+                                chain.append((sig, n, comp))
+                        break
+                else:
+                    leaders.append((n, [(sig, n, comp)]))
             yield _pair_batch(pairs)
 
     return _summed(listed.select("token", "sig", "n", "comp").mapInArrow(lead, _PAIRS), percent)
 
 
 def _likeliest(pairs: DataFrame) -> DataFrame:
-    """One leader ``a`` for each set ``b``: that with most in common, then the smallest."""
-    near = F.struct("shared", -F.col("n_a"), -F.col("a"))
+    """One leader ``a`` for each set ``b``: that with most in common, then the
+    nearest in size, then the smallest."""
+    near = F.struct("shared", -F.abs(F.col("n_a") - F.col("n_b")), -F.col("a"))
     return pairs.groupBy("b").agg(F.max_by("a", near).alias("a")).select("a", "b")
 
 
@@ -200,13 +231,16 @@ def _pair_batch(pairs: Counter) -> pa.RecordBatch:
 
 
 def _summed(pairs: DataFrame, percent: int) -> DataFrame:
+    return _enough(pairs.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared")), percent)
+
+
+def _enough(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs whose shared prefix tokens suffice: a common token outside both
     prefixes lies behind the prefix of one of the two."""
     union = F.col("n_a") + F.col("n_b")
     behind = F.ceil(F.lit(percent) * F.greatest("n_a", "n_b") / 100) - 1
     needed = F.ceil(F.lit(percent) * union / (100 + percent))
-    sums = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
-    return sums.where(F.col("shared") + behind >= needed)
+    return pairs.where(F.col("shared") + behind >= needed)
 
 
 def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -221,7 +255,7 @@ def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     union = F.col("n_a") + F.col("n_b")
     allowed = union - 2 * F.ceil(F.lit(percent) * union / (100 + percent))
     pairs = pairs.select("a", "b", "shared")
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= allowed).select("a", "b", "n_a", "shared")
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= allowed).select("a", "b", "n_a", "n_b", "shared")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -297,6 +331,18 @@ def _open_pairs(listed: DataFrame, percent: int) -> DataFrame:
     return listed.select(columns).mapInArrow(read, _PAIRS).select("a", "b").distinct()
 
 
+def _sharing(pairs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """The pairs that share enough tokens of their prefixes to link. Shared ones are
+    listed, so a set's listed tokens are looked at only, some hundredths of it."""
+    prefixes = lists.join(_ends(pairs), "sig", "left_semi").groupBy("sig").agg(F.max("n").alias("n"), F.collect_list("token").alias("tokens"))
+
+    def side(name: str) -> DataFrame:
+        return prefixes.select(F.col("sig").alias(name), F.col("n").alias(f"n_{name}"), F.col("tokens").alias(f"in_{name}"))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return _enough(both.withColumn("shared", F.size(F.array_intersect("in_a", "in_b"))), percent).select("a", "b")
+
+
 def _with_earlier(listed: DataFrame) -> DataFrame:
     """Entries with the tokens before theirs in the same set, of those listed. An entry
     without one has its set's digest there, which no other set shares."""
@@ -353,7 +399,9 @@ def _compared(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
                 names=["a", "b", "n_a", "n_b", "common"],
             )
 
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "grams_a", "grams_b")
+    # Each side is picked by the pairs before it is moved, not all arrays once a call.
+    pairs = pairs.select("a", "b")
+    joined = pairs.join(left, "a").join(pairs.join(right, "b"), ["a", "b"]).select("a", "b", "grams_a", "grams_b")
     return stage(joined.mapInArrow(compare, "a bigint, b bigint, n_a bigint, n_b bigint, common bigint"), "compared")
 
 
@@ -371,14 +419,6 @@ def _with_arrays(documents: DataFrame, sets: DataFrame, pairs: DataFrame, arrays
     return arrays.unionByName(_arrays(documents, sets.join(missing, "sig", "left_semi"), k))
 
 
-def _below_leaders(links: DataFrame) -> DataFrame:
-    """``node, component`` of sets that link with their leader: the leader's leader,
-    or the leader. What else is joined stays apart for now."""
-    above = links.select(F.col("b").alias("a"), F.col("a").alias("top"))
-    found = links.join(above, "a", "left")
-    return found.select(F.col("b").alias("node"), F.coalesce("top", "a").alias("component"))
-
-
 def _not_joined(lists: DataFrame, joined: DataFrame) -> DataFrame:
     """Entries with their component, of the lists that hold more than one."""
     comp = F.coalesce("component", "sig").alias("comp")
@@ -419,25 +459,27 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             F.min("doc_id").alias("first_doc"), *[F.max(c).alias(c) for c in ("n", *_PARITY)]
         ), "distinct-sets",
     )
-    shared = stage(_shared(_lists(_entries(documents, k, counts, percent))), "shared-entries").distinct()
-    lists = stage(_shared(_lists(shared, "n", "sig")), "lists")
+    lists = stage(_distinct_shared(_lists(_entries(documents, k, counts, percent), "n", "sig")), "lists")
     if lists.isEmpty():
         return _labelled(rows, sets.select("sig", "first_doc", F.col("sig").alias("comp")))
 
     first, links, arrays = None, None, None
     open_lists = lists.withColumn("comp", F.col("sig"))
-    for last_round in (False, True):
-        leads = _plausible(_with_leaders(_lists(open_lists, "n", "sig"), percent), sets, percent)
+    for depth in (1, 2):
+        leads = _plausible(_with_leaders(_lists(open_lists, "pos", "n", "sig"), percent, depth), sets, percent)
+        if first is not None:
+            leads = leads.join(first.select("a", "b"), ["a", "b"], "left_anti")
         leads = stage(_likeliest(leads), "leader-pairs")
         arrays = _with_arrays(documents, sets, leads, arrays, k)
         compared = _compared(leads, arrays)
         first = compared if first is None else first.unionByName(compared)
         links = _links(first, percent)
-        joined = components(links) if last_round else _below_leaders(links)
+        joined = components(links)
         open_lists = stage(_not_joined(lists, joined), "open-lists")
     bits = sets.select(F.col("sig").alias("own"), *_PARITY)
     signed = _with_earlier(open_lists).join(bits, F.col("sig") == F.col("own")).drop("own")
     pairs = stage(_open_pairs(_lists(signed, "n", "sig"), percent), "open-pairs")
+    pairs = stage(_sharing(pairs, open_lists, percent), "sharing-pairs")
     arrays = _with_arrays(documents, sets, pairs, arrays, k)
 
     # What a set's leader has in common with it bounds, or decides, its own answers.

@@ -147,13 +147,16 @@ def _solve(square: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 3000) -> np.ndarray:
-    """Least squares with x >= 0 by active sets (Lawson and Hanson)."""
-    gram, target = a.T @ a, a.T @ b
+    """Least squares with x >= 0 by active sets (Lawson and Hanson).
+
+    Only the products of active columns are formed: those of all would take the
+    square of the number of columns."""
+    target = a.T @ b
     n = a.shape[1]
     x, active = np.zeros(n), np.zeros(n, bool)
     small = 1e-9 * max(1.0, np.abs(target).max(initial=0))
     for _ in range(rounds):
-        slope = target - gram @ x
+        slope = a.T @ (b - a @ x)
         slope[active] = -np.inf
         best = int(slope.argmax()) if n else 0
         if not n or slope[best] <= small:
@@ -161,7 +164,8 @@ def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 3000) -> np.ndarray:
         active[best] = True
         while True:
             at = np.flatnonzero(active)
-            trial = _solve(gram[np.ix_(at, at)], target[at])
+            columns = a[:, at]
+            trial = _solve(columns.T @ columns, target[at])
             if (trial > 0).all():
                 x[:] = 0
                 x[at] = trial
