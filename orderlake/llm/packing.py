@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from string import punctuation
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from orderlake.llm.common import blocks_for, local_table, unit_interval
@@ -22,6 +24,9 @@ DEPTH = 3
 END_ID = 1
 MAX_CACHED = 700_000
 TOKENIZER = "word_bpe_49k.json"
+_MARKS = punctuation.encode()
+#: Bytes of texts whose words are looked up together.
+RUN_BYTES = 16_000_000
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
@@ -52,43 +57,85 @@ class _Ids(dict):
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(c.ids, dtype="<u4") for c in coded]
 
-    def _learn_letters(self, words: list[str]) -> None:
+    def _learn_letters(self, words: list[bytes]) -> None:
         """Lower-case words of letters are one pre-token each, so many are coded
         as one text and told apart by the ids that end a word."""
         runs = [words[i:i + 1000] for i in range(0, len(words), 1000)]
-        for run, ids in zip(runs, self._encode([" ".join(run) for run in runs])):
+        for run, ids in zip(runs, self._encode([b" ".join(run).decode() for run in runs])):
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(run) or cuts[-1] != len(ids):
                 self._learn_each(run)
                 continue
             raw, at = ids.tobytes(), 0
             for word, cut in zip(run, (cuts * 4).tolist()):
-                self[word.encode()] = raw[at:cut]
+                self[word] = raw[at:cut]
                 at = cut
 
-    def _learn_each(self, words: list[str]) -> None:
-        for word, ids in zip(words, self._encode(words)):
-            self[word.encode()] = ids.tobytes()
+    def _learn_ascii(self, words: list[bytes]) -> None:
+        """Lower-case ASCII words of letters are as the model takes them."""
+        split = self.tokenizer.model.tokenize
+        for word in words:
+            ids = [token.id for token in split(word.decode())]
+            self[word] = pack_ids(f"<{len(ids)}I", *ids)
 
-    def learn(self, words: set[bytes]) -> None:
+    def _learn_each(self, words: list[bytes]) -> None:
+        for word, ids in zip(words, self._encode([word.decode() for word in words])):
+            self[word] = ids.tobytes()
+
+    def learn(self, words: Iterable[bytes]) -> None:
         """Make sure that all these words are held."""
         if len(self) > MAX_CACHED:
             self.clear()
-        parts, plain = {}, set()
+        made, plain, letters, others = [], set(), set(), set()
         for raw in words:
-            if raw not in self:
-                word = raw.decode()
-                base = word.rstrip(punctuation)
-                if base.isalpha() and "Σ" not in base:
-                    parts[raw] = (base.lower(), word[len(base):])
-                else:
-                    parts[raw] = (word, "")
-                plain.update(part for part in parts[raw] if part)
-        new = [word for word in plain if word.encode() not in self]
-        self._learn_letters([word for word in new if word.isalpha()])
-        self._learn_each([word for word in new if not word.isalpha()])
-        for raw, (base, mark) in parts.items():
-            self[raw] = self[base.encode()] + (self[mark.encode()] if mark else b"")
+            if raw in self:
+                continue
+            base = raw.rstrip(_MARKS)
+            word = base.decode()
+            if not word.isalpha() or "Σ" in word:
+                others.add(raw)
+                continue
+            lower = word.lower()
+            if not lower.isalpha():
+                # Marks of a letter's lower case run on into those behind it.
+                others.add(raw)
+                continue
+            low, mark = lower.encode(), raw[len(base):]
+            if low not in self:
+                (plain if low.isascii() else letters).add(low)
+            if mark and mark not in self:
+                others.add(mark)
+            if low != raw:
+                made.append((raw, low, mark))
+        self._learn_ascii(list(plain))
+        self._learn_letters(list(letters))
+        self._learn_each(list(others))
+        for raw, low, mark in made:
+            self[raw] = self[low] + self[mark] if mark else self[low]
+
+
+def _coded(known: _Ids, texts: pa.Array) -> Iterator[bytes]:
+    """Ids of each text as little-endian bytes. Of a run of texts, each different
+    word is looked up once and its ids are taken for all its places together."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        before = sizes[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(sizes, before + RUN_BYTES, side="right")))
+        words = pc.ascii_split_whitespace(texts.slice(at, stop - at).cast(pa.string(), safe=False))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        known.learn(distinct)
+        ids = pa.array([known[word] for word in distinct], pa.large_binary())
+        lengths = pc.binary_length(ids).to_numpy(zero_copy_only=False)
+        places = coded.indices.to_numpy(zero_copy_only=False)
+        ends = np.append(0, np.cumsum(lengths[places]))
+        joined = b"".join(ids.take(coded.indices).buffers()[2:]) if ends[-1] else b""
+        counts = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+        cuts = ends[np.append(0, np.cumsum(counts))].tolist()
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield joined[a:b]
+        at = stop
 
 
 def pieces(documents: DataFrame, window: int = WINDOW, path: str | None = None) -> DataFrame:
@@ -104,10 +151,8 @@ def pieces(documents: DataFrame, window: int = WINDOW, path: str | None = None)
         wide = 4 * window
         for batch in batches:
             ids, starts, lengths, sums, totals = [], [], [], [], []
-            texts = batch.column(1).to_pylist()
-            known.learn({word for text in texts for word in text.split()})
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts):
-                tokens = b"".join(map(known.__getitem__, text.split())) + end
+            for doc_id, tokens in zip(batch.column(0).to_pylist(), _coded(known, batch.column(1))):
+                tokens += end
                 for at in range(0, len(tokens), wide):
                     piece = tokens[at:at + wide]
                     ids.append(doc_id)

@@ -1,0 +1,27 @@
+"""Ids of texts taken word by word, against the tokenizer on whole texts."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+
+from orderlake.llm import packing
+
+PARTS = ["a", "Bc", "word", "WORDS", "it's", ".", ",", "$$", " ", " ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x85",
+         "\xa0", " ", "é", "é", "İ", "İ,", "Σ", "Σας", "中文", "\0", "12", "ﬁ", "<|x|>", "ǅ", "ß", "̇"]
+
+
+def test_texts_of_any_run_are_coded_as_whole_ones(monkeypatch):
+    rng = random.Random(2)
+    texts = ["", " ", "İ, İ.", "x İ>"] + ["".join(rng.choices(PARTS, k=rng.randint(1, 25))) for _ in range(1500)]
+    coder = packing._Ids(packing.tokenizer_path())
+    want = [coder.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    rows = pa.array([text.encode() for text in texts], pa.binary())
+    for run in (1, 500, 10**7):
+        monkeypatch.setattr(packing, "RUN_BYTES", run)
+        coder.clear()
+        for given in (rows, rows.slice(3, 200)):
+            at = 0 if len(given) == len(rows) else 3
+            found = [np.frombuffer(raw, "<u4").tolist() for raw in packing._coded(coder, given)]
+            assert found == want[at:at + len(given)]
+    assert list(packing._coded(coder, pa.array([], pa.binary()))) == []
