@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -42,6 +45,18 @@ def local_table(spark: SparkSession, rows: list, schema: str | StructType) -> Da
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields), kind)
 
 
+def text_runs(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose texts hold up to ``most`` bytes, one text at least:
+    what a step makes of them grows with the slice, however many rows a batch has."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(sizes.astype(np.int64)), 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 #: Ids (8 bytes each) that may go to every executor.
 MAX_SENT_IDS = 500_000
 

@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from orderlake.llm.common import text_runs
 from orderlake.llm.jaccard import _shared
 from orderlake.llm.shingles import _BASE, _INVERSE, _VALUES, _mix, _powers, _runs
 from orderlake.sources.staging import stage
@@ -29,6 +30,8 @@ GRAM = 32
 #: Bytes of surroundings a bucket holds, on average, and shards of a bucket.
 BUCKET_BYTES = 500_000
 SHARDS = 4
+#: Bytes of texts a task works on at a time.
+TASK_BYTES = 1_000_000
 #: Joins send the smaller side to the texts while it has no more rows than this.
 MAX_SENT_ROWS = 4_000_000
 
@@ -207,23 +210,25 @@ def _texts(documents: DataFrame) -> DataFrame:
     )
 
 
+def _anchor_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    for part in (part for batch in batches for part in text_runs(batch, 2, TASK_BYTES)):
+        found = list(anchors(part.column(2).to_pylist(), length))
+        row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+        anchor, start, size, digest = (np.concatenate(x) for x in zip(*found))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(anchor.view(np.int64)), part.column(0).take(row), part.column(1).take(row),
+                pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(digest.view(np.int64)),
+            ], names=["anchor", "doc_id", "tie", "start", "size", "digest"],
+        )
+
+
 def _anchored(texts: DataFrame, length: int) -> DataFrame:
     """``anchor, doc_id, tie, start, size, digest`` of each anchor's surroundings."""
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = list(anchors(batch.column(2).to_pylist(), length))
-            row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
-            anchor, start, size, digest = (np.concatenate(x) for x in zip(*found))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(anchor.view(np.int64)), batch.column(0).take(row), batch.column(1).take(row),
-                    pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(digest.view(np.int64)),
-                ], names=["anchor", "doc_id", "tie", "start", "size", "digest"],
-            )
-
     return texts.where(F.octet_length("text") >= length).mapInArrow(
-        find, "anchor bigint, doc_id bigint, tie bigint, start int, size int, digest bigint"
+        lambda batches: _anchor_batches(batches, length),
+        "anchor bigint, doc_id bigint, tie bigint, start int, size int, digest bigint"
     )
 
 
@@ -322,7 +327,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     ).select("doc_id", "text", "spans")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_runs(whole, 1, TASK_BYTES)):
             sizes, removed, runs, kept = [], [], [], []
             for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 parts, at, n = [], 0, 0
