@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderlake.llm.common import unused, with_ids
+from orderlake.llm.common import text_runs, unused, with_ids
 from orderlake.llm.components import components
 from orderlake.llm.shingles import set_digest, shingle_sets
 from orderlake.sources.staging import stage
@@ -31,6 +31,8 @@ from orderlake.sources.staging import stage
 CELLS = 1 << 21
 CELL_BLOCK = 1024
 BLOCK = 64
+#: Bytes of texts a task works on at a time.
+TASK_BYTES = 2_000_000
 #: Pairs a task sums before it sends them on.
 HELD_PAIRS = 200_000
 #: 64-bit words of a set's parity bits: whether a bucket of hashes holds an odd
@@ -60,7 +62,7 @@ def _sets(documents: DataFrame, k: int) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, np.int64)
-        for batch in batches:
+        for batch in _text_runs(batches, 2):
             sets = list(shingle_sets(batch.column(2).to_pylist(), k))
             size = len(sets)
             if not size:
@@ -88,6 +90,10 @@ def _sets(documents: DataFrame, k: int) -> DataFrame:
     return stage(rows.mapInArrow(build, ", ".join(kinds)), "sets")
 
 
+def _text_runs(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    return (part for batch in batches for part in text_runs(batch, column, TASK_BYTES))
+
+
 def _cells(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
 
@@ -120,7 +126,7 @@ def _entries(documents: DataFrame, k: int, counts, percent: int) -> DataFrame:
     rows = documents.select(F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _text_runs(batches, 0):
             tokens, sigs, sizes, places = [], [], [], []
             for grams in shingle_sets(batch.column(0).to_pylist(), k):
                 n = len(grams)
@@ -148,38 +154,38 @@ def _lists(entries: DataFrame, *order: str) -> DataFrame:
 
 def _shared(listed: DataFrame) -> DataFrame:
     """The entries of tokens that more than one entry holds."""
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, waiting = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            token = batch.column(0).to_numpy()
-            same = token[1:] == token[:-1]
-            keep = np.append(same, False) | np.insert(same, 0, token[0] == last)
-            if waiting is not None and token[0] == last:
-                yield waiting
-            last = token[-1]
-            waiting = None if keep[-1] else batch.slice(batch.num_rows - 1)
-            yield batch.filter(pa.array(keep))
-
-    return listed.mapInArrow(pick, listed.schema)
+    return listed.mapInArrow(_shared_batches, listed.schema)
 
 
 def _distinct_shared(listed: DataFrame) -> DataFrame:
     """:func:`_shared` of entries sorted by ``token, n, sig``, equal ones counted once."""
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            token, sig = (batch.column(i).to_numpy() for i in range(2))
-            same = (token[1:] == token[:-1]) & (sig[1:] == sig[:-1])
-            yield batch.filter(pa.array(np.insert(~same, 0, (token[0], sig[0]) != last)))
-            last = token[-1], sig[-1]
-
-    return _shared(listed.mapInArrow(pick, listed.schema))
+    return listed.mapInArrow(lambda batches: _shared_batches(_distinct_batches(batches)), listed.schema)
+
+
+def _shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    last, waiting = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        token = batch.column(0).to_numpy()
+        same = token[1:] == token[:-1]
+        keep = np.append(same, False) | np.insert(same, 0, token[0] == last)
+        if waiting is not None and token[0] == last:
+            yield waiting
+        last = token[-1]
+        waiting = None if keep[-1] else batch.slice(batch.num_rows - 1)
+        yield batch.filter(pa.array(keep))
+
+
+def _distinct_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        token, sig = (batch.column(i).to_numpy() for i in range(2))
+        same = (token[1:] == token[:-1]) & (sig[1:] == sig[:-1])
+        yield batch.filter(pa.array(np.insert(~same, 0, (token[0], sig[0]) != last)))
+        last = token[-1], sig[-1]
 
 
 def _with_leaders(listed: DataFrame, percent: int, depth: int) -> DataFrame:
@@ -368,7 +374,7 @@ def _arrays(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     texts = with_ids(rows, "doc_id", ids, "wanted_id").select("text")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _text_runs(batches, 0):
             sets = list(shingle_sets(batch.column(0).to_pylist(), k))
             yield pa.RecordBatch.from_arrays(
                 [

@@ -4,6 +4,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from orderlake.llm import components, jaccard, packing
 
@@ -94,3 +95,18 @@ def test_solver_holds_no_square_of_its_columns():
     tracemalloc.stop()
     assert (x >= 0).all() and np.allclose(a @ x, a @ want, atol=1e-3)
     assert peak < 20e6
+
+
+def test_entries_are_counted_once_and_shared_ones_kept_over_batches():
+    rng = random.Random(6)
+    rows = sorted((rng.randrange(60), rng.randrange(4), rng.randrange(3)) for _ in range(150))
+    held = {}
+    for token, sig, n in rows:
+        held.setdefault(token, set()).add(sig)
+    entries = sorted({(t, s) for t, s, _ in rows})
+    want = [(t, s) for t, s in entries if len(held[t]) > 1]
+    table = pa.RecordBatch.from_pydict({"token": [t for t, _, _ in rows], "sig": [s for _, s, _ in rows]})
+    for size in (1, 2, 7, 150):
+        parts = [table.slice(at, size) for at in range(0, len(rows), size)]
+        found = jaccard._shared_batches(jaccard._distinct_batches(iter([table.slice(0, 0), *parts])))
+        assert [(r["token"], r["sig"]) for batch in found for r in batch.to_pylist()] == want
