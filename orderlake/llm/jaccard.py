@@ -87,7 +87,7 @@ def _sets(documents: DataFrame, k: int) -> DataFrame:
         )
 
     kinds = ["kind byte", *(f"{c} bigint" for c in names[1:-1]), "cells binary"]
-    return stage(rows.mapInArrow(build, ", ".join(kinds)), "sets")
+    return stage(rows.mapInArrow(build, ", ".join(kinds)), "sets", 2 * TASK_BYTES)
 
 
 def _text_runs(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
@@ -384,7 +384,7 @@ def _arrays(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             )
 
     sets = texts.mapInArrow(build, "sig bigint, grams binary").join(wanted.select("sig"), "sig", "left_semi")
-    return stage(sets.dropDuplicates(["sig"]), "set-tokens")
+    return stage(sets.dropDuplicates(["sig"]), "set-tokens", 2 * TASK_BYTES)
 
 
 def _compared(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
@@ -465,7 +465,7 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             F.min("doc_id").alias("first_doc"), *[F.max(c).alias(c) for c in ("n", *_PARITY)]
         ), "distinct-sets",
     )
-    lists = stage(_distinct_shared(_lists(_entries(documents, k, counts, percent), "n", "sig")), "lists")
+    lists = stage(_distinct_shared(_lists(_entries(documents, k, counts, percent), "n", "sig")), "lists", 2 * TASK_BYTES)
     if lists.isEmpty():
         return _labelled(rows, sets.select("sig", "first_doc", F.col("sig").alias("comp")))
 

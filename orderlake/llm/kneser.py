@@ -209,7 +209,9 @@ def _fitted(documents: DataFrame, labels: DataFrame, quantile: float) -> tuple[D
     # A model knows its own documents too well to tell what others may have.
     unseen = F.pmod(F.xxhash64("tie"), F.lit(HELD_OUT)) == 0
     model = ngrams.Model(good.where(~unseen))
-    small = stage(_scored(own, model if model.symbols else ngrams.Model(good)), "perplexities")
+    small = stage(
+        _scored(own, model if model.symbols else ngrams.Model(good)), "perplexities", ngrams.BATCH_BYTES
+    )
     held = small.where(unseen)
     if with_ids(held.where("nats IS NOT NULL"), "doc_id", trusted, "trusted_id").isEmpty():
         held = small

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderlake.llm.characters import chunks, flatten
+from orderlake.llm.common import text_runs
 from orderlake.sources.staging import stage
 
 ORDER = 4
@@ -24,16 +25,19 @@ LEAST_DISCOUNT = 0.1
 #: Characters looked at together, and characters of a run; a longer text is one.
 CHUNK = 500_000
 RUN_CHARS = 30_000_000
+#: Bytes of texts that a task takes from a batch at a time, and of a batch.
+SLICE_BYTES = 2_000_000
+BATCH_BYTES = 4_000_000
 
 
 def grams_of(texts: list[str], order: int) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct n-grams; for every place of the texts, and the end of each, the
     number of the n-gram that ends there; and how many places each text has."""
     flat, starts, lengths = flatten(texts, order - 1, 1)
-    used = np.zeros(0x110000, bool)
+    used = np.zeros(int(flat.max(initial=0)) + 1, bool)
     used[flat] = True
     points = np.flatnonzero(used)
-    rank = np.zeros(0x110000, np.int64)
+    rank = np.zeros(len(used), np.int64)
     rank[points] = np.arange(len(points))
     symbols, sizes = rank[flat], lengths + 1
     ends = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
@@ -49,12 +53,16 @@ def grams_of(texts: list[str], order: int) -> tuple[list[str], np.ndarray, np.nd
     return [joined[i:i + order] for i in range(0, len(joined), order)], number, sizes
 
 
+def _slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    return (part for batch in batches for part in text_runs(batch, column, SLICE_BYTES))
+
+
 def count(texts: DataFrame, order: int = ORDER) -> DataFrame:
     """``gram, n`` over a column ``text``; missing and empty texts have none."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.column(0).to_pylist()
+        for part in _slices(batches, 0):
+            rows = part.column(0).to_pylist()
             for a, b in chunks(rows, CHUNK):
                 grams, number, _ = grams_of(rows[a:b], order)
                 n = np.bincount(number, minlength=len(grams))
@@ -79,39 +87,42 @@ def in_runs(documents: DataFrame, run_chars: int) -> DataFrame:
 
 def asked(runs: DataFrame, order: int = ORDER) -> DataFrame:
     """``run, gram``, the distinct n-grams of each run."""
+    return runs.select("run", "text").mapInArrow(
+        lambda batches: _asked_batches(batches, order), "run bigint, gram string"
+    )
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, set[str]] = {}
-        for batch in batches:
-            texts, of = batch.column(1).to_pylist(), batch.column(0).to_numpy()
-            for run in np.unique(of).tolist():
-                own = [texts[i] for i in np.flatnonzero(of == run)]
-                for a, b in chunks(own, CHUNK):
-                    found.setdefault(run, set()).update(grams_of(own[a:b], order)[0])
-        for run, grams in found.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(grams), run)), pa.array(list(grams))], names=["run", "gram"]
-            )
 
-    return runs.select("run", "text").mapInArrow(read, "run bigint, gram string")
+def _asked_batches(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
+    found: dict[int, set[str]] = {}
+    for part in _slices(batches, 1):
+        texts, of = part.column(1).to_pylist(), part.column(0).to_numpy()
+        for run in np.unique(of).tolist():
+            own = [texts[i] for i in np.flatnonzero(of == run)]
+            for a, b in chunks(own, CHUNK):
+                found.setdefault(run, set()).update(grams_of(own[a:b], order)[0])
+    for run in list(found):
+        grams = found.pop(run)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(grams), run)), pa.array(list(grams))], names=["run", "gram"]
+        )
 
 
 def packed(runs: DataFrame) -> DataFrame:
     """``run, data``: compressed batches of a run's ``doc_id, tie, text``, as texts
     are moved to their probabilities once."""
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
-        for batch in batches:
-            of = batch.column(0).to_numpy()
-            for run in np.unique(of).tolist():
-                own = batch.filter(pa.array(of == run)).select(["doc_id", "tie", "text"])
-                for a, b in chunks(own.column(2).to_pylist(), 4 * CHUNK):
-                    out = pa.BufferOutputStream()
-                    with pa.ipc.new_stream(out, own.schema, options=options) as writer:
-                        writer.write_batch(own.slice(a, b - a))
-                    yield pa.RecordBatch.from_pydict({"run": [run], "data": [out.getvalue().to_pybytes()]})
+    return runs.select("run", "doc_id", "tie", "text").mapInArrow(_packed_batches, "run bigint, data binary")
+
 
-    return runs.select("run", "doc_id", "tie", "text").mapInArrow(pack, "run bigint, data binary")
+def _packed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    for part in _slices(batches, 3):
+        of = part.column(0).to_numpy()
+        for run in np.unique(of).tolist():
+            own = part.filter(pa.array(of == run)).select(["doc_id", "tie", "text"])
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, own.schema, options=options) as writer:
+                writer.write_batch(own)
+            yield pa.RecordBatch.from_pydict({"run": [run], "data": [out.getvalue().to_pybytes()]})
 
 
 def summed(runs: DataFrame, logs: DataFrame, order: int = ORDER) -> DataFrame:
@@ -154,7 +165,7 @@ class Model:
     characters precede each shorter one."""
 
     def __init__(self, texts: DataFrame, order: int = ORDER):
-        self.order, self.counts = order, {order: stage(count(texts, order), f"grams-{order}")}
+        self.order, self.counts = order, {order: stage(count(texts, order), f"grams-{order}", BATCH_BYTES)}
         for n in range(order, 1, -1):
             fewer = self.counts[n].groupBy(_suffix(n).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
             self.counts[n - 1] = stage(fewer, f"grams-{n - 1}")
@@ -196,7 +207,7 @@ def score(documents: DataFrame, model: Model, run_chars: int = RUN_CHARS) -> Dat
     """``doc_id, tie, nats, chars`` of ``doc_id, tie, text``, once for equal pairs;
     texts that are missing or empty are left out."""
     runs = in_runs(documents, run_chars)
-    grams = stage(asked(runs, model.order), "run-grams")
+    grams = stage(asked(runs, model.order), "run-grams", BATCH_BYTES)
     logs = model.probabilities(stage(grams.select("gram").distinct(), f"asked-{model.order}"))
     logs = logs.select(F.col("gram").alias("known"), F.ln("p").alias("log"))
     told = grams.join(logs, F.col("gram") == F.col("known")).select("run", "gram", "log")

@@ -25,8 +25,8 @@ END_ID = 1
 MAX_CACHED = 700_000
 TOKENIZER = "word_bpe_49k.json"
 _MARKS = punctuation.encode()
-#: Bytes of texts whose words are looked up together.
-RUN_BYTES = 16_000_000
+#: Bytes of texts whose words are looked up together, and of a batch of texts.
+RUN_BYTES = 8_000_000
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
@@ -278,7 +278,7 @@ def pack(cut: DataFrame, window: int = WINDOW, step: int = STEP) -> DataFrame:
     """
     spark = cut.sparkSession
     unit = F.ceil(F.col("length") / F.lit(step)).cast("int")
-    rows = stage(cut.select("*", unit.alias("unit"), F.monotonically_increasing_id().alias("piece")), "pieces")
+    rows = stage(cut.select("*", unit.alias("unit"), F.monotonically_increasing_id().alias("piece")), "pieces", RUN_BYTES)
     counts = {r.unit: r.n for r in rows.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = plan_windows(counts, -(-window // step))
     width = blocks_for(sum(counts.values()))
