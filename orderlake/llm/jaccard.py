@@ -20,10 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderlake.llm.common import text_runs, unused, with_ids
+from orderlake.llm.common import MAX_SENT_IDS, text_runs, unused, with_ids
 from orderlake.llm.components import components
 from orderlake.llm.shingles import set_digest, shingle_sets
-from orderlake.sources.staging import stage
+from orderlake.sources.staging import batches_of, stage
 
 #: Tokens are counted in so many cells by hash, and sort by their cell's count and
 #: then by hash. Any order of all tokens gives whole results; this one is as fine at
@@ -33,6 +33,8 @@ CELL_BLOCK = 1024
 BLOCK = 64
 #: Bytes of texts a task works on at a time.
 TASK_BYTES = 2_000_000
+#: Bytes of a batch of texts.
+BATCH_BYTES = 4_000_000
 #: Pairs a task sums before it sends them on.
 HELD_PAIRS = 200_000
 #: 64-bit words of a set's parity bits: whether a bucket of hashes holds an odd
@@ -87,7 +89,8 @@ def _sets(documents: DataFrame, k: int) -> DataFrame:
         )
 
     kinds = ["kind byte", *(f"{c} bigint" for c in names[1:-1]), "cells binary"]
-    return stage(rows.mapInArrow(build, ", ".join(kinds)), "sets", 2 * TASK_BYTES)
+    with batches_of(documents.sparkSession, BATCH_BYTES):
+        return stage(rows.mapInArrow(build, ", ".join(kinds)), "sets")
 
 
 def _text_runs(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
@@ -384,7 +387,8 @@ def _arrays(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             )
 
     sets = texts.mapInArrow(build, "sig bigint, grams binary").join(wanted.select("sig"), "sig", "left_semi")
-    return stage(sets.dropDuplicates(["sig"]), "set-tokens", 2 * TASK_BYTES)
+    with batches_of(documents.sparkSession, BATCH_BYTES):
+        return stage(sets.dropDuplicates(["sig"]), "set-tokens")
 
 
 def _compared(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
@@ -465,7 +469,8 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             F.min("doc_id").alias("first_doc"), *[F.max(c).alias(c) for c in ("n", *_PARITY)]
         ), "distinct-sets",
     )
-    lists = stage(_distinct_shared(_lists(_entries(documents, k, counts, percent), "n", "sig")), "lists", 2 * TASK_BYTES)
+    with batches_of(spark, BATCH_BYTES):
+        lists = stage(_distinct_shared(_lists(_entries(documents, k, counts, percent), "n", "sig")), "lists")
     if lists.isEmpty():
         return _labelled(rows, sets.select("sig", "first_doc", F.col("sig").alias("comp")))
 
@@ -538,15 +543,28 @@ def one_of_each(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFram
     ones once. See :func:`classes`."""
     found = stage(classes(documents, k, percent), "near-classes")
     first = found.where((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id")))
+    doc, mark, text_mark = (unused(documents, c) for c in ("kept_doc", "kept_mark", "mark"))
     stays = first.groupBy("doc_id").agg(F.min("mark").alias("mark")).unionByName(
         found.where("n_shingles = 0").select("doc_id", "mark").distinct()
-    ).select(F.col("doc_id").alias("id_"), F.col("mark").alias("mark_"))
-    mark = unused(documents, "mark")
-    rows = documents.withColumn(mark, F.xxhash64("text"))
-    kept = rows.join(
-        stays, rows["doc_id"].cast("bigint").eqNullSafe(stays["id_"]) & (rows[mark] == stays["mark_"]), "left_semi"
-    )
-    return kept.dropDuplicates(["doc_id", mark]).select(documents.columns)
+    ).select(F.col("doc_id").alias(doc), F.col("mark").alias(mark))
+    keys = found.groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("n"))
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col("mark") == F.col(mark))
+
+    def sent(rows: DataFrame, name: str) -> DataFrame:
+        held = stage(rows.select(F.col("doc_id").alias(doc), F.col("mark").alias(mark)), name)
+        return held.hint("broadcast" if held.count() <= MAX_SENT_IDS else "merge")
+
+    # Texts are not moved: the keys that go, and those of repeated rows, are sent to
+    # them while they are few.
+    goes = sent(keys.join(stays, same, "left_anti"), "near-copies")
+    repeated = sent(keys.where("n > 1").join(stays, same, "left_semi"), "repeated-rows")
+    rows = documents.withColumn(text_mark, F.xxhash64("text"))
+    here = F.col("doc_id").cast("bigint").eqNullSafe(F.col(doc)) & (F.col(text_mark) == F.col(mark))
+    kept = rows.join(goes, here, "left_anti")
+    if not repeated.isEmpty():
+        once = rows.join(repeated, here, "left_semi").dropDuplicates(["doc_id", text_mark])
+        kept = kept.join(repeated, here, "left_anti").unionByName(once)
+    return kept.select(documents.columns)
 
 
 def op8_jaccard(spark, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: words of a certain structure; words beyond so many bytes are hashed otherwise.
 LONG_WORD = 64
 #: A run needs about a hundred times as much memory for a moment.
-RUN_BYTES = 500_000
+RUN_BYTES = 250_000
 
 
 def _mix(h: np.ndarray) -> np.ndarray:

@@ -110,3 +110,16 @@ def test_entries_are_counted_once_and_shared_ones_kept_over_batches():
         parts = [table.slice(at, size) for at in range(0, len(rows), size)]
         found = jaccard._shared_batches(jaccard._distinct_batches(iter([table.slice(0, 0), *parts])))
         assert [(r["token"], r["sig"]) for batch in found for r in batch.to_pylist()] == want
+
+
+def test_texts_are_not_moved_to_leave_near_copies_out(spark):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[i * 10:i * 10 + 40]), "x") for i in range(30)]
+    rows += [(100, rows[3][1] + " more", "x"), rows[5], rows[5], (None, "no id at all", "x"), (200, "", "x"), (200, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, kept_doc string")
+    kept = jaccard.one_of_each(docs)
+    plain = jaccard.one_of_each(spark.createDataFrame([*{*rows}], docs.schema))
+    want = sorted((r for r in {*rows} if r[0] != 100), key=str)
+    assert sorted(map(tuple, kept.collect()), key=str) == want == sorted(map(tuple, plain.collect()), key=str)
+    plan = plain._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
