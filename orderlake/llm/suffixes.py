@@ -32,8 +32,9 @@ BUCKET_BYTES = 500_000
 SHARDS = 4
 #: Bytes of texts a task works on at a time.
 TASK_BYTES = 1_000_000
-#: Joins send the smaller side to the texts while it has no more rows than this.
-MAX_SENT_ROWS = 4_000_000
+#: Bits of a bitmap (Spark's bitmap functions fix it), bits a document should have
+#: in all of them, and how many bitmaps are sent to the texts at most: 32 MB.
+BITS, KEY_BITS, MAX_BITMAPS = 32_768, 16, 8_192
 
 
 def _slide(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -82,9 +83,20 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Itera
 
 
 def _stable(values: np.ndarray) -> np.ndarray:
-    """Stable order of whole numbers below 2**32, by two rounds of 16 bits."""
-    low = np.argsort((values & 0xFFFF).astype(np.uint16), kind="stable")
-    return low[np.argsort((values >> 16).astype(np.uint16)[low], kind="stable")]
+    """Stable order of whole numbers from 0 on, by rounds of 16 bits."""
+    order = np.argsort(values.astype(np.uint16), kind="stable")
+    for shift in range(16, int(values.max(initial=0)).bit_length(), 16):
+        order = order[np.argsort((values >> shift).astype(np.uint16)[order], kind="stable")]
+    return order
+
+
+def _ranks(values: np.ndarray) -> np.ndarray:
+    """The rank, from 0, of each number among the different ones."""
+    order = _stable(values)
+    ranked = values[order]
+    rank = np.empty(len(values), np.int64)
+    rank[order] = np.cumsum(np.append(0, ranked[1:] != ranked[:-1]))[:len(values)]
+    return rank
 
 
 def step_for(length: int) -> int:
@@ -99,15 +111,14 @@ def letters(strings: list[bytes], step: int) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, strings), np.int64, len(strings)) + 1
     data = np.frombuffer(b"\0".join(strings) + b"\0" * step, np.uint8).astype(np.int64)
     n = int(sizes.sum())
-    rank, have = data, 1
-    while have < step:
-        # Bytes more that still fit: the rank is below 2**31.
-        more = min(4, step - have)
-        tail = np.zeros(len(rank) - more, np.int64)
-        for i in range(more):
-            tail = tail * 256 + data[have + i:have + i + len(tail)]
-        rank = np.unique(rank[:len(tail)] * 256**more + tail, return_inverse=True)[1]
-        have += more
+    # Up to five bytes are a number; two that may overlap have up to ten.
+    have = min(5, step)
+    number = np.zeros(n + step - have, np.int64)
+    for i in range(have):
+        number = number * 256 + data[i:i + len(number)]
+    rank = _ranks(number)
+    if have < step:
+        rank = _ranks(rank[:n] * len(rank) + rank[step - have:])
     place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     whole = place + step < np.repeat(sizes, sizes)
     return np.where(whole, rank[:n] + 1, 0), place
@@ -117,20 +128,28 @@ def suffix_array(letter: np.ndarray, step: int) -> np.ndarray:
     """Order of all suffixes, read ``step`` places a letter, by doubling; those
     too short for a letter come first and all differ."""
     n, short = len(letter), letter == 0
-    rank = np.unique(np.where(short, np.cumsum(short), letter + n), return_inverse=True)[1].astype(np.int64)
+    key = np.where(short, np.cumsum(short), letter + n)
+    order = _stable(key)
+    key = key[order]
+    first = np.append(True, key[1:] != key[:-1])
+    # A rank is the slot in which those of equal beginnings start.
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
     k = step
-    while True:
-        after = np.full(n, -1, np.int64)
-        after[:-k] = rank[k:]
-        key = rank * (n + 1) + after + 1
-        order = np.argsort(key)
-        sorted_key = key[order]
-        new = np.cumsum(np.append(0, sorted_key[1:] != sorted_key[:-1]))
-        rank = np.empty(n, np.int64)
-        rank[order] = new
+    while k < n:
+        slots = np.flatnonzero(~(first & np.append(first[1:], True)))
+        if not len(slots):
+            break
+        own = order[slots]
+        after = np.where(own + k < n, rank[np.minimum(own + k, n - 1)] + 1, 0)
+        key = rank[own] * (n + 1) + after
+        new = _stable(key)
+        own, key = own[new], key[new]
+        fresh = np.append(True, key[1:] != key[:-1])
+        order[slots], first[slots] = own, fresh
+        rank[own] = slots[np.maximum.accumulate(np.where(fresh, np.arange(len(own)), 0))]
         k *= 2
-        if new[-1] == n - 1 or k >= n:
-            return order
+    return order
 
 
 def shard_transform(letter: np.ndarray, place: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,20 +170,21 @@ def merge_transforms(transforms: list[np.ndarray], rounds: int) -> tuple[np.ndar
     counting by that letter keeps the order found so far. Suffixes shorter than a
     letter sort by shard and place and are blocks of their own.
     """
-    chars = np.concatenate(transforms)
+    chars = np.concatenate(transforms).astype(np.int32)
     n, counts = len(chars), [int((t == 0).sum()) for t in transforms]
     ends = sum(counts)
     interleave = np.repeat(np.arange(len(transforms), dtype=np.uint8), [len(t) for t in transforms])
     marks = np.repeat(np.arange(len(counts), dtype=np.uint8), counts)
-    block = np.zeros(n, np.int64)
-    current = np.empty(n, np.int64)
+    block = np.zeros(n, np.int32)
+    current = np.empty(n, np.int32)
     for _ in range(rounds):
         current[np.argsort(interleave, kind="stable")] = chars
         go = _stable(current)[ends:]
         char, source = current[go], block[go]
         fresh = (char[1:] != char[:-1]) | (source[1:] != source[:-1])
         interleave = np.concatenate([marks, interleave[go]])
-        block = np.concatenate([np.arange(ends), ends + np.cumsum(np.append(0, fresh))[:len(go)]])
+        inner = ends + np.cumsum(np.append(0, fresh), dtype=np.int32)[:len(go)]
+        block = np.concatenate([np.arange(ends, dtype=np.int32), inner])
         if block[-1] == n - 1:
             break
     return interleave, block
@@ -198,9 +218,21 @@ def repeated(strings: list[bytes], length: int = LENGTH, shards: int = SHARDS) -
     return string, at, group
 
 
-def _sent(small: DataFrame) -> DataFrame:
-    """Counted, and sent to every executor only while it is small."""
-    return small.hint("broadcast" if small.count() <= MAX_SENT_ROWS else "merge")
+def _marked(texts: DataFrame, keys: DataFrame, documents: int) -> DataFrame:
+    """The texts with ``held``: whether their document may be among the ``keys``
+    (``doc_id, tie``), which is true for all of those and for few others.
+
+    Only bitmaps are sent to the texts: some bits for each of the ``documents``,
+    never more than ``MAX_BITMAPS``. Beyond that more texts than needed are held.
+    """
+    maps = min(MAX_BITMAPS, documents * KEY_BITS // BITS + 1)
+    place = F.pmod(F.xxhash64("doc_id", "tie"), F.lit(maps * BITS))
+    bitmap, bit = F.floor(place / BITS).alias("map"), place % BITS
+    sent = keys.groupBy(bitmap).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    held = F.coalesce(F.getbit(byte.cast("int"), (bit % 8).cast("int")) == 1, F.lit(False))
+    joined = texts.withColumn("map", bitmap).join(sent.hint("broadcast"), "map", "left")
+    return joined.select(*texts.columns, held.alias("held"))
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -270,17 +302,17 @@ def repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     keys = stage(keys.distinct(), "text-digests")
     firsts = keys.groupBy("digest").agg(
         F.min(F.struct("doc_id", "tie")).alias("first"), F.count(F.lit(1)).alias("n")
-    ).where("n > 1")
+    ).where("n > 1").select("digest", "first")
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tie") == F.col("first.tie"))
-    copies = stage(
-        keys.join(firsts, "digest").where(~own)
-        .select("doc_id", "tie", F.lit(0).alias("start"), F.col("size").alias("stop")), "copies",
-    )
-    gone = copies.select(F.col("doc_id").alias("d"), F.col("tie").alias("t"))
-    texts = texts.join(
-        _sent(gone), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t")), "left_anti"
+    keys = stage(
+        keys.join(firsts, "digest", "left")
+        .select("doc_id", "tie", "size", (F.col("first").isNotNull() & ~own).alias("copy")), "copies",
     )
-    listed = _anchored(texts, length).repartition("anchor").sortWithinPartitions("anchor")
+    copies = keys.where("copy").select("doc_id", "tie", F.lit(0).alias("start"), F.col("size").alias("stop"))
+    n_documents = keys.count()
+    # A copy that is held all the same is covered again, anchor by anchor.
+    once = _marked(texts, keys.where("NOT copy"), n_documents).where("held")
+    listed = _anchored(once, length).repartition("anchor").sortWithinPartitions("anchor")
     around = stage(_shared(listed), "shared-anchors")
 
     same = around.groupBy("anchor", "digest").agg(
@@ -295,8 +327,9 @@ def repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
         "doc_id", "tie", "start", (F.col("start") + F.col("size")).alias("stop")
     )
     several = same.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    chosen = same.join(several, "anchor", "left_semi").select("anchor", "first.*")
+    chosen = stage(same.join(several, "anchor", "left_semi").select("anchor", "first.*"), "chosen-surroundings")
     # Rows may repeat; their texts then bring the same bytes again.
+    texts = _marked(texts, chosen, n_documents).where("held")
     different = stage(_with_bytes(texts, chosen).dropDuplicates(["anchor", "doc_id", "tie", "start"]), "compared-surroundings")
     total = different.agg(F.sum(F.octet_length("around"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
@@ -321,10 +354,12 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = stage(repeats(documents, length), "repeats").groupBy(
         F.col("doc_id").alias("d"), F.col("tie").alias("t")
     ).agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
-    rows = _texts(documents).join(
-        _sent(stage(spans, "repeated-spans")),
-        F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t")), "left",
-    ).select("doc_id", "text", "spans")
+    spans = stage(spans, "repeated-spans")
+    texts = _marked(_texts(documents), spans.select(F.col("d").alias("doc_id"), F.col("t").alias("tie")), spans.count())
+    here = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t"))
+    found = texts.where("held").join(spans, here, "left").select("doc_id", "text", "spans")
+    whole = texts.where("NOT held").select("doc_id", "text", F.lit(None).cast(found.schema["spans"].dataType).alias("spans"))
+    rows = whole.unionByName(found)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in text_runs(whole, 1, TASK_BYTES)):
